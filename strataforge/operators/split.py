@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from strataforge.functions.hashing import HASH_SPACE, md5_bucket
 from strataforge.functions.ordering import hashed_positions, positions
+from strataforge.session import cut
 
 
 def _others(df: DataFrame, *new: str) -> list[str]:
@@ -65,6 +66,25 @@ def repeated_samples(
     return placed.select(*_others(df, "rep", "inside"), "rep", inside.cast("int").alias("inside"))
 
 
+def with_samples(
+    df: DataFrame, row_id: str, times: int, share: float, strata: list[str] | None = None,
+    tag: str = "rep",
+) -> DataFrame:
+    """``df`` plus ``samples``: the list of repeats each row is in, written once.
+
+    Only ids and strata are repeated; the wide rows are joined and stored a
+    single time however many repeats there are.
+    """
+    narrow = df.select(*dict.fromkeys([row_id, *(strata or [])]))
+    picked = repeated_samples(narrow, row_id, times, share, strata, tag).where("inside = 1")
+    sets = picked.groupBy(row_id).agg(F.array_sort(F.collect_list("rep")).alias("samples"))
+    return cut(df.join(sets, row_id, "left"))
+
+
+def in_sample(marked: DataFrame, rep: int) -> DataFrame:
+    return marked.where(F.array_contains("samples", rep)).drop("samples")
+
+
 def random_split(df: DataFrame, row_id: str, share: float, seed: int, out: str = "held") -> DataFrame:
     """Plain split: a hash threshold, no shuffle."""
     bar = int(share * HASH_SPACE)
