@@ -99,3 +99,32 @@ def scores_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
             for model, (a, m) in SCORE_MODELS.items()
         ],
     )
+
+
+def contest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Raw train and test tables under the contest's column names, and (ID, fold10)."""
+    b, d = base(spark, sf_dir), dates(spark, sf_dir)
+    rows = b.join(d, "id").select(
+        F.col("id").alias("ID"),
+        F.col("y").alias("target"),
+        "split",
+        "fold10",
+        F.when(F.col("zip") % 2 == 0, F.lit("true")).when(F.col("zip") % 5 == 0, F.lit("")).otherwise("false").alias("VAR_0008"),
+        F.col("prio").alias("VAR_0005"),
+        F.col("st").alias("VAR_0467"),
+        F.col("d1").alias("VAR_0073"),
+        F.col("d2").alias("VAR_0075"),
+        F.col("state1").alias("VAR_0237"),
+        F.col("state2").alias("VAR_0274"),
+        F.col("city").alias("VAR_0200"),
+        F.when(F.col("zip") % 7 != 0, F.concat(F.lit("job"), (F.col("zip") % 4).cast("string"))).otherwise("-1").alias("VAR_0404"),
+        F.when(F.col("zip") % 3 != 0, F.concat(F.lit("job"), (F.col("zip") % 6).cast("string"))).otherwise("").alias("VAR_0493"),
+        F.when(F.col("id") % 11 != 0, F.col("zip") * 1000.0).alias("VAR_0212"),
+        (F.col("zip") % 50).alias("VAR_0241"),
+        *[F.col(f"n{i}").alias(f"VAR_100{i}") for i in range(1, 9)],
+        (10.0 * F.substring("prio", 1, 1).cast("int") + F.col("zip") % 20).alias("VAR_1009"),
+        (20.0 * F.substring("prio", 1, 1).cast("int") + 2 * (F.col("zip") % 20) + F.col("fold10")).alias("VAR_1010"),
+    )
+    train = rows.where("split = 'train'").drop("split", "fold10")
+    test = rows.where("split = 'test'").drop("split", "fold10", "target")
+    return train, test, rows.where("split = 'train'").select("ID", "fold10")

@@ -21,6 +21,7 @@ def local_session(cpus: str = "*", partitions: int = 8, memory: str = "8g") -> S
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
