@@ -2,29 +2,55 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import AtomicType, BinaryType, StringType
 
 from strataforge.session import cut
 
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 HOT_SHARE = 1 / 512
 SALTS = 1024
 
 
+@dataclass(frozen=True)
+class Size:
+    rows: int
+    bytes: int
+
+    def fits(self, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+        return self.rows <= rows and self.bytes <= size
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Approximate size of a row: text at its length, everything else at 16 bytes."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
+    width = F.lit(16 * len(df.columns))
+    for t in texts:
+        width = width + F.coalesce(F.octet_length(t), F.lit(0))
+    return width
+
+
+def measure(df: DataFrame) -> Size:
+    r = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()
+    return Size(r["n"], r["b"])
+
+
 def lookup(
     df: DataFrame,
     table: DataFrame,
     on: list[str],
     weight: str | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    size: Size | None = None,
+    limit: Size = Size(BROADCAST_ROWS, BROADCAST_BYTES),
     hot_share: float = HOT_SHARE,
-    rows: int | None = None,
 ) -> DataFrame:
     """Attach the value columns of ``table`` (unique on ``on``) to ``df``.
 
-    * Counted size up to ``broadcast_rows``: broadcast, so ``df`` is not moved.
+    * Measured size within ``limit``: broadcast, so ``df`` is not moved.
     * Larger, with a ``weight`` (rows of ``df`` per key): keys holding at least
       ``hot_share`` of the rows go by broadcast -- there are at most
       1/hot_share of them -- and the rest by an ordinary shuffle join.  Rows
@@ -32,13 +58,14 @@ def lookup(
       not pile up in one shuffle partition.
     * Larger, no weight: shuffle join, left to AQE.
 
-    ``weight`` is dropped from the result.
+    Give ``size`` when the table is already written and measured.  ``weight``
+    is dropped from the result.
     """
     values = [c for c in table.columns if c not in on and c != weight]
-    if rows is None:
+    if size is None:
         table = cut(table)
-        rows = table.count()
-    if rows <= broadcast_rows:
+        size = measure(table)
+    if size.fits(limit.rows, limit.bytes):
         return df.join(F.broadcast(table.select(*on, *values)), on, "left").select(
             *df.columns, *values
         )
@@ -50,11 +77,13 @@ def lookup(
     hot = table.where(F.col(weight) >= bound).select(
         *on, *[F.col(v).alias(f"_hot_{v}") for v in values], F.lit(True).alias("_served")
     )
-    cold = table.where(F.col(weight) < bound).select(
+    cold = table.where(F.coalesce(F.col(weight), F.lit(0)) < bound).select(
         *on, *[F.col(v).alias(f"_cold_{v}") for v in values], F.lit(0).alias("_salt")
     )
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS).cast("long")).cast("int") + 1
+    # The salt is a function of the row, so a retried task salts its rows alike.
+    hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    spread = F.pmod(F.xxhash64(*hashed), F.lit(SALTS).cast("long")).cast("int") + 1
     marked = df.join(F.broadcast(hot), on, "left").withColumn(
         "_salt", F.when(F.col("_served") | missing, spread).otherwise(F.lit(0))
     )

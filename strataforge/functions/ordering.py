@@ -8,8 +8,6 @@ table carries the offsets between slices.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from strataforge.functions.lookup import lookup
@@ -22,18 +20,23 @@ def _sliced(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.repartitionByRange(*keys, *order).withColumn(SLICE, F.spark_partition_id())
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+def _cell(keys: list[str]) -> Column:
+    """(group, slice) as one value.
+
+    Grouping, window and join all use this one column, so they share a single
+    shuffle; inside a struct a NULL group key equals another NULL.
+    """
+    return F.struct(*keys, SLICE)
 
 
 def _offsets(per_slice: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
-    # At most (number of slices) rows per group, whatever the table size.
-    group = [F.col(k) for k in keys] or [F.lit(0)]
-    before = W.partitionBy(*group).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+    """``per_slice``: (_cell, sums).  At most (number of slices) rows per group."""
+    group = [F.col(f"_cell.{k}") for k in keys] or [F.lit(0)]
+    at = F.col(f"_cell.{SLICE}")
+    before = W.partitionBy(*group).orderBy(at).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*group)
     return per_slice.select(
-        *keys,
-        SLICE,
+        "_cell",
         *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_off_{n}") for n in names],
         *[F.sum(n).over(whole).alias(f"total_{n}") for n in names],
     )
@@ -49,17 +52,15 @@ def running_totals(
     rows must see the same slices.
     """
     keys = list(keys or [])
-    part = keys + [SLICE]
-    rows = cut(_sliced(df, keys, order))
-    per_slice = rows.groupBy(*part).agg(*[F.sum(s).alias(s) for s in sums])
+    rows = cut(_sliced(df, keys, order)).withColumn("_cell", _cell(keys))
+    per_slice = rows.groupBy("_cell").agg(*[F.sum(s).alias(s) for s in sums])
     offsets = _offsets(per_slice, keys, sums)
-    inside = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("_cell").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     local = rows.select(
         "*", *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias(f"_in_{s}") for s in sums]
     )
-    joined = local.join(offsets, _same(local, offsets, part))
-    return joined.select(
-        *[local[c] for c in df.columns],
+    return local.join(offsets, "_cell").select(
+        *df.columns,
         *[(F.col(f"_in_{s}") + F.col(f"_off_{s}")).alias(f"before_{s}") for s in sums],
         *[F.col(f"total_{s}") for s in sums],
     )
@@ -98,14 +99,13 @@ def hashed_positions(
     rows = df.withColumn("_h", hashed).withColumn(
         SLICE, F.floor(F.col("_h") / F.lit(width)).cast("int")
     )
-    part = keys + [SLICE]
-    counts = rows.groupBy(*part).agg(F.count("*").alias("n"))
+    rows = rows.withColumn("_cell", _cell(keys))
+    counts = rows.groupBy("_cell").agg(F.count("*").alias("n"))
     offsets = _offsets(counts, keys, ["n"])
-    inside = W.partitionBy(*part).orderBy("_h", *tie)
+    inside = W.partitionBy("_cell").orderBy("_h", *tie)
     local = rows.withColumn("_rn", F.row_number().over(inside).cast("long"))
-    joined = local.join(offsets, _same(local, offsets, part))
-    return joined.select(
-        *[local[c] for c in df.columns],
+    return local.join(offsets, "_cell").select(
+        *df.columns,
         (F.col("_rn") + F.col("_off_n")).alias(out),
         F.col("total_n").alias("group_rows"),
     )
@@ -140,7 +140,16 @@ def average_rank(
     if percentile:
         rank = rank / F.col("total_n")
     table = table.select(*keys, value, rank.alias(out), F.col("n").alias("_weight"))
-    return lookup(df, table, keys + [value], weight="_weight")
+    return _with_null_keys(df, table, keys, value)
+
+
+def _with_null_keys(df: DataFrame, table: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Join by the struct of keys and value: a NULL group is a group like any other."""
+    if not keys:
+        return lookup(df, table, [value], weight="_weight")
+    key = F.when(F.col(value).isNotNull(), F.struct(*keys, value))
+    keyed = table.withColumn("_key", key).drop(*keys, value)
+    return lookup(df.withColumn("_key", key), keyed, ["_key"], weight="_weight").drop("_key")
 
 
 def rank_sums(df: DataFrame, label: str, value: str, keys: list[str] | None = None) -> DataFrame:

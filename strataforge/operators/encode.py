@@ -11,7 +11,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strataforge.functions.lookup import lookup
+from strataforge.functions.lookup import BROADCAST_BYTES, BROADCAST_ROWS, Size, lookup, row_bytes
 from strataforge.functions.ordering import positions
 from strataforge.operators.columns import blank_to, with_all
 from strataforge.session import cut
@@ -43,25 +43,49 @@ def attach_by_level(
     name,
     on_extra: list[str] | None = None,
     weight: str = "n",
+    row_id: str | None = None,
+    limit: Size = Size(BROADCAST_ROWS, BROADCAST_BYTES),
 ) -> DataFrame:
     """Look up ``value`` of (var, level) for each column; ``name(c)`` names the result.
 
-    ``table`` is written once and counted per column in one job, which decides
-    column by column between a broadcast and a shuffle join.
+    ``table`` is written once and measured per column in one job.  Columns with
+    small level tables are broadcast, all without moving ``df``.  Columns with
+    large ones would each shuffle the wide table; given a ``row_id``, they are
+    instead looked up together as narrow (id, var, level) rows, with one join,
+    one regrouping by id, and one join back.
     """
     extra = on_extra or []
     table = cut(table)
-    sizes = {r["var"]: r["count"] for r in table.groupBy("var").count().collect()}
+    measured = table.groupBy("var").agg(
+        F.count("*").alias("n"), F.sum(row_bytes(table)).alias("b")
+    )
+    sizes = {r["var"]: Size(r["n"], r["b"]) for r in measured.collect()}
+    none = Size(0, 0)
+    large = [c for c in cols if not sizes.get(c, none).fits(limit.rows, limit.bytes)]
+    together = large if row_id is not None and len(large) > 1 else []
     out = df
     for c in cols:
+        if c in together:
+            continue
         mine = table.where(F.col("var") == c).select(
             F.col("level").alias("_level"), *extra, F.col(value).alias(name(c)),
             F.col(weight).alias("_weight"),
         )
         keyed = out.withColumn("_level", F.col(c).cast("string"))
-        joined = lookup(keyed, mine, ["_level", *extra], weight="_weight", rows=sizes.get(c, 0))
-        out = joined.drop("_level")
-    return out
+        found = lookup(keyed, mine, ["_level", *extra], "_weight", sizes.get(c, none), limit)
+        out = found.drop("_level")
+    if together:
+        long = level_cells(df, together, [row_id, *extra])
+        values = table.where(F.col("var").isin(together)).select(
+            "var", "level", *extra, F.col(value).alias("_value"), F.col(weight).alias("_weight")
+        )
+        whole = Size(sum(sizes[c].rows for c in together), sum(sizes[c].bytes for c in together))
+        found = lookup(long, values, ["var", "level", *extra], "_weight", whole, limit)
+        wide = found.groupBy(row_id).agg(
+            *[F.max(F.when(F.col("var") == c, F.col("_value"))).alias(name(c)) for c in together]
+        )
+        out = out.join(wide, row_id, "left")
+    return out.select(*df.columns, *[name(c) for c in cols])
 
 
 def sorted_codes(df: DataFrame, cols: list[str], start: int = 1) -> DataFrame:
@@ -71,18 +95,21 @@ def sorted_codes(df: DataFrame, cols: list[str], start: int = 1) -> DataFrame:
 
 
 def encode_sorted(
-    df: DataFrame, cols: list[str], start: int = 1, suffix: str = "_code"
+    df: DataFrame, cols: list[str], start: int = 1, suffix: str = "_code", row_id: str | None = None
 ) -> DataFrame:
     """Integer codes by sorted level; ``df`` is the union of train and test."""
-    return attach_by_level(df, sorted_codes(df, cols, start), cols, "code", lambda c: c + suffix)
+    table = sorted_codes(df, cols, start)
+    return attach_by_level(df, table, cols, "code", lambda c: c + suffix, row_id=row_id)
 
 
-def label_encode(df: DataFrame, cols: list[str], suffix: str = "_label") -> DataFrame:
-    return encode_sorted(df, cols, start=0, suffix=suffix)
+def label_encode(
+    df: DataFrame, cols: list[str], suffix: str = "_label", row_id: str | None = None
+) -> DataFrame:
+    return encode_sorted(df, cols, start=0, suffix=suffix, row_id=row_id)
 
 
 def encode_first_seen(
-    df: DataFrame, cols: list[str], order: list[str], suffix: str = "_seen"
+    df: DataFrame, cols: list[str], order: list[str], suffix: str = "_seen", row_id: str | None = None
 ) -> DataFrame:
     """1-based codes in the order in which levels first appear under ``order``."""
     firsts = (
@@ -93,12 +120,16 @@ def encode_first_seen(
     )
     coded = positions(firsts, ["_first"], ["var"], "code")
     table = coded.select("var", "level", "n", F.col("code").cast("int").alias("code"))
-    return attach_by_level(df, table, cols, "code", lambda c: c + suffix)
+    return attach_by_level(df, table, cols, "code", lambda c: c + suffix, row_id=row_id)
 
 
-def count_encode(df: DataFrame, cols: list[str], prefix: str = "ct") -> DataFrame:
+def count_encode(
+    df: DataFrame, cols: list[str], prefix: str = "ct", row_id: str | None = None
+) -> DataFrame:
     """Frequency of each row's level, for every column."""
-    return attach_by_level(df, level_counts(df, cols), cols, "n", lambda c: prefix + c)
+    return attach_by_level(
+        df, level_counts(df, cols), cols, "n", lambda c: prefix + c, row_id=row_id
+    )
 
 
 def collapse_rare(

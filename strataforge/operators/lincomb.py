@@ -15,20 +15,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from strataforge.session import cut
+from strataforge.functions.matrices import PART_SCHEMA, tree_merge
 
-FAN_IN = 16
 
-
-def triangular_factor(df: DataFrame, cols: list[str], fan_in: int = FAN_IN) -> np.ndarray:
-    """R of the table's columns; the columns must be free of NULLs (fill first).
-
-    The task functions carry all they need, so workers need no copy of this
-    package.
-    """
+def triangular_factor(df: DataFrame, cols: list[str]) -> np.ndarray:
+    """R of the table's columns; the columns must be free of NULLs (fill first)."""
     width = len(cols)
     data = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    schema = "part int, factor binary"
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -40,27 +33,14 @@ def triangular_factor(df: DataFrame, cols: list[str], fan_in: int = FAN_IN) -> n
                 factor = np.linalg.qr(np.vstack([factor, rows]), mode="r")
         if len(factor):
             part = TaskContext.get().partitionId()
-            yield pd.DataFrame({"part": [part], "factor": [factor.tobytes()]})
+            yield pd.DataFrame({"part": [part], "g": [0], "m": [factor.tobytes()]})
 
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        factor = np.zeros((0, width))
-        for raw in group.sort_values("part")["factor"]:
-            rows = np.frombuffer(raw).reshape(-1, width)
-            factor = np.linalg.qr(np.vstack([factor, rows]), mode="r")
-        part = int(group["part"].min()) // fan_in
-        return pd.DataFrame({"part": [part], "factor": [factor.tobytes()]})
-
-    factors = cut(data.mapInPandas(local, schema))
-    top = factors.agg(F.max("part")).first()[0]
-    if top is None:
-        return np.zeros((0, width))
-    # A group holds at most ``fan_in`` factors, so no task sees more than that.
-    while top > 0:
-        factors = factors.groupBy(F.floor(F.col("part") / fan_in).alias("g")).applyInPandas(
-            merge, schema
-        )
-        top //= fan_in
-    return np.frombuffer(factors.first()["factor"]).reshape(-1, width)
+    def merge(factors: list[bytes]) -> bytes:
+        stacked = np.vstack([np.frombuffer(f).reshape(-1, width) for f in factors])
+        return np.linalg.qr(stacked, mode="r").tobytes()
+
+    found = tree_merge(data.mapInPandas(local, PART_SCHEMA), merge)
+    return np.frombuffer(found[0]).reshape(-1, width) if found else np.zeros((0, width))
 
 
 def dependent_indices(factor: np.ndarray, tolerance: float = 1e-7) -> list[int]:

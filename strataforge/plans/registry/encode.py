@@ -8,7 +8,7 @@ from strataforge.operators import dates as D
 from strataforge.operators import encode as E
 from strataforge.operators.columns import casted, columns_like, drop_columns, recode_blanks, with_all
 from strataforge.operators.hashed import hash_features
-from strataforge.operators.response_rate import encode_response_rate, fitting_sums, level_fold_sums
+from strataforge.operators.response_rate import encode_response_rate, fit_profile, fitting_sums, level_sums
 from strataforge.plans import fixtures as fx
 from strataforge.plans.fixture_sql import DATES, bucket, with_base, with_dates
 from strataforge.plans.registry import query
@@ -355,8 +355,10 @@ def e20(spark, sf):
         .otherwise(F.col("lvl"))
     )
     df = fx.base(spark, sf).where(IS_TRAIN).select("y", "fold10", level.alias("lvl2"))
-    fits = fitting_sums(level_fold_sums(df, ["lvl2"], "y", "fold10", 10), 10)
-    return fits.groupBy("fold").agg(F.count("*").alias("n_levels"), F.sum("n").alias("n_rows"))
+    profile = fit_profile(fitting_sums(level_sums(df, ["lvl2"], "y", "fold10")), 10)
+    return profile.groupBy("fold").agg(
+        F.sum("m").alias("n_levels"), F.sum(F.col("m") * F.col("n")).alias("n_rows")
+    )
 
 
 # ---- dates ----------------------------------------------------------------------------
