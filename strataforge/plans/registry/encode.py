@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 
 from strataforge.operators import dates as D
 from strataforge.operators import encode as E
@@ -13,7 +13,8 @@ from strataforge.plans import fixtures as fx
 from strataforge.plans.fixture_sql import DATES, bucket, with_base, with_dates
 from strataforge.plans.registry import query
 
-IS_TRAIN = F.col("split") == "train"
+def is_train() -> Column:
+    return F.col("split") == "train"
 
 
 def _base(spark, sf, *cols):
@@ -43,7 +44,7 @@ SORTED_ZERO = SORTED.replace("row_number() over (order by level)", "row_number()
 
 @query("e1_encode_first_seen", _coded(["prio", "city", "state2"], FIRST_SEEN, "_seen"))
 def e1(spark, sf):
-    df = _base(spark, sf, "id", "prio", "city", "state2", F.when(IS_TRAIN, 0).otherwise(1).alias("part"))
+    df = _base(spark, sf, "id", "prio", "city", "state2", F.when(is_train(), 0).otherwise(1).alias("part"))
     out = E.encode_first_seen(df, ["prio", "city", "state2"], ["part", "id"])
     return out.select("id", "prio_seen", "city_seen", "state2_seen")
 
@@ -182,13 +183,13 @@ def rated(rows: str, level: str, where: str, more: list[str] | None = None) -> s
 
 
 def _rates(df, col):
-    out = encode_response_rate(df, [col], "y", "fold10", 10, IS_TRAIN)
+    out = encode_response_rate(df, [col], "y", "fold10", 10, is_train())
     return out.select("id", "split", F.round(col + "dmp", 6).alias("rate"))
 
 
 @query("e9_target_encode_oof", rated("base", "lvl", "b.split = 'train'"))
 def e9(spark, sf):
-    return _rates(_base(spark, sf, "id", "y", "split", "fold10", "lvl"), "lvl").where(IS_TRAIN).drop("split")
+    return _rates(_base(spark, sf, "id", "y", "split", "fold10", "lvl"), "lvl").where(is_train()).drop("split")
 
 
 @query("e10_target_encode_full", rated("base", "city", "b.split = 'test'"))
@@ -209,7 +210,7 @@ def e11(spark, sf):
         .otherwise(F.col("lvl"))
     )
     df = _base(spark, sf, "id", "y", "split", "fold10", level.alias("lvl2"))
-    out = encode_response_rate(df, ["lvl2"], "y", "fold10", 10, IS_TRAIN)
+    out = encode_response_rate(df, ["lvl2"], "y", "fold10", 10, is_train())
     return out.where(F.col("lvl2").isin("only_test", "only_fold4")).select(
         "id", F.round("lvl2dmp", 6).alias("rate")
     )
@@ -227,7 +228,7 @@ def e11(spark, sf):
     ),
 )
 def e9_fixed(spark, sf):
-    df = _base(spark, sf, "id", "y", "split", "fold10", "lvl").where(IS_TRAIN)
+    df = _base(spark, sf, "id", "y", "split", "fold10", "lvl").where(is_train())
     out = encode_response_rate(df, ["lvl"], "y", "fold10", 10, ratio=0.02)
     return out.select("id", F.round("lvldmp", 6).alias("rate"))
 
@@ -354,7 +355,7 @@ def e20(spark, sf):
         .when((fold == 4) & (zip_ % 10 == 3), "only_fold4")
         .otherwise(F.col("lvl"))
     )
-    df = fx.base(spark, sf).where(IS_TRAIN).select("y", "fold10", level.alias("lvl2"))
+    df = fx.base(spark, sf).where(is_train()).select("y", "fold10", level.alias("lvl2"))
     profile = fit_profile(fitting_sums(level_sums(df, ["lvl2"], "y", "fold10")), 10)
     return profile.groupBy("fold").agg(
         F.sum("m").alias("n_levels"), F.sum(F.col("m") * F.col("n")).alias("n_rows")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from strataforge.functions.metrics import auc
@@ -20,9 +22,9 @@ from strataforge.plans.column_families import Families
 from strataforge.plans.fixture_sql import DATES, auc_sql, with_base, with_scores
 from strataforge.plans.hashed_learning import hashed_rows, learn_and_score
 from strataforge.plans.registry import query
-from strataforge.plans.registry.encode import HASHED_SQL, SLOTS, days_sql
+from strataforge.plans.registry.encode import HASHED_SQL, SLOTS, days_sql, rate_ctes
 from strataforge.plans.registry.profile import SIGNAL_SQL
-from strataforge.session import cut, fresh_path
+from strataforge.session import cut, fresh_path, spread
 from strataforge.streaming import progressive
 
 FEATURES = ["a", "n2", "n4", "zip"]
@@ -31,7 +33,7 @@ FEATURES = ["a", "n2", "n4", "zip"]
 def _rows(spark, sf):
     """Train, holdout (fold 10) and test rows with planted signal."""
     a = (10 * F.substring("prio", 1, 1).cast("int") + F.col("zip") % 20).cast("double")
-    rows = cut(fx.base(spark, sf).select("id", "y", "fold10", "split", a.alias("a"), "n2", "n4", "zip"))
+    rows = cut(spread(fx.base(spark, sf).select("id", "y", "fold10", "split", a.alias("a"), "n2", "n4", "zip")))
     train = rows.where("split = 'train' and fold10 < 10")
     return train, rows.where("split = 'train' and fold10 = 10"), rows.where("split = 'test'")
 
@@ -338,27 +340,133 @@ def v5(spark, sf):
     )
 
 
-@query("v8_encoded_version")
+def _rate_of(rows: str, level: str) -> str:
+    """Subquery (id, rate) of one level expression over ``rows`` (id, y, split, fold10, ...)."""
+    fold = "case when b.split = 'train' then b.fold10 else 0 end"
+    return f"""(with leveled as (select id, y, split, fold10, {level} as lv from {rows}),
+        {', '.join(rate_ctes('leveled', 'lv'))}
+      select b.id, coalesce(r.rate, m.mean_y) as rate from leveled b
+      left join rates r on r.level = b.lv and r.fold = {fold} join means m on m.fold = {fold})"""
+
+
+def _version_sql(fac: str, plain: dict[str, str], rates: dict[str, str], more: dict[str, str], *ctes: str) -> str:
+    """Plain columns of the level table plus a rounded rate per level expression."""
+    joins = " ".join(f"join {_rate_of('fac', e)} r{i} on r{i}.id = fac.id" for i, e in enumerate(rates.values()))
+    cols = [f'{e} as "{n}"' for n, e in plain.items()]
+    cols += [f'round(r{i}.rate, 6) as "{n}"' for i, n in enumerate(rates)]
+    at = {n: f"r{i}.rate" for i, n in enumerate(rates)}
+    cols += [f'round({e.format(**at)}, 5) as "{n}"' for n, e in more.items()]
+    return with_base(
+        "select fac.id as \"ID\", split, case when split = 'train' then y end as target, "
+        + ", ".join(cols) + f" from fac {joins}", *ctes, fac,
+    )
+
+
+def _shown(df, rounded=(), coarse=()):
+    """Response rates rounded for the comparison."""
+    return df.select(
+        *[
+            F.round(c, 6).alias(c) if c.endswith("dmp") or c in rounded
+            else F.round(c, 5).alias(c) if c in coarse else F.col(c)
+            for c in df.columns
+        ]
+    )
+
+
+ENCODED_SQL = _version_sql(
+    """fac as (select base.*, nof_dates, nof_unique_dates, duration_contact, nof_years, initial_year,
+         case when zip % 2 = 0 then 'true' when zip % 5 = 0 then 'mis' else 'false' end as flag,
+         case when state2 = '' then 'mis' else state2 end as place2,
+         case when count(*) over (partition by city) < 1000 then 'RARE' else city end as town,
+         case when zip % 7 <> 0 then concat('job', cast(zip % 4 as varchar)) else 'mis' end as job1,
+         case when zip % 3 <> 0 then concat('job', cast(zip % 6 as varchar)) else 'mis' end as job2,
+         cast(10 * cast(substr(prio, 1, 1) as int) + zip % 20 as double) as sig
+       from base join summary using (id))""",
+    {
+        "VAR0212": "case when fac.id % 11 <> 0 then round(zip * 1000 / 1e9::double, 9) else -1 end",
+        "VAR0241": "zip % 50",
+        "VAR1001": "coalesce(n1, -1)",
+        "VAR1002": "n2",
+        "VAR1004": "n4",
+        "VAR1009": "sig",
+        "sum10091010": "sig + (2 * sig + fold10)",
+        "nofdates": "nof_dates",
+        "nofuniquedates": "nof_unique_dates",
+        "durationcontact": "duration_contact",
+        "nofyears": "nof_years",
+        "state1mis": "0",
+        "state2mis": "cast(place2 = 'mis' as int)",
+        "bothstatemis": "0",
+        "samestate": "cast(place2 = state1 as int)",
+        "job1mis": "cast(job1 = 'mis' as int)",
+        "job2mis": "cast(job2 = 'mis' as int)",
+        "bothjobsmis": "cast(job1 = 'mis' and job2 = 'mis' as int)",
+    },
+    {
+        "facVAR0008dmp": "flag",
+        "facVAR0237dmp": "state1",
+        "facVAR0274dmp": "place2",
+        "facVAR0200dmp": "town",
+        "facVAR0404dmp": "job1",
+        "facVAR0493dmp": "job2",
+        "facinitialyeardmp": "cast(initial_year as varchar)",
+        "facVAR0005dmp": "prio",
+        "facVAR0467dmp": "st",
+        "facyearStatedmp": "concat(cast(initial_year as varchar), '_', state1)",
+    },
+    {},
+    DATES, days_sql(["d1", "d2"]),
+)
+
+
+@query("v8_encoded_version", ENCODED_SQL)
 def v8(spark, sf):
     train, test, folds = fx.contest(spark, sf)
-    return V.encoded_version(train, test, folds)
+    out = _shown(V.encoded_version(train, test, folds))
+    return out.withColumn("VAR0212", F.round("VAR0212", 9))
 
 
 # Few raw factors here, so that the pairs of factors stay few; the rows are all there.
-FEW = ["VAR_0005", "VAR_0274", "VAR_0467", "VAR_0241"]
+FEW = {"VAR0005": "f1", "VAR0274": "f2", "VAR0467": "f3", "zipcode": "f4"}
+PAIRS = {f"bi{a}{b}": f"concat({x}, '_', {y})" for (a, x), (b, y) in combinations(FEW.items(), 2)}
+INTERACTION_SQL = _version_sql(
+    """fac as (select id, y, split, fold10, prio as f1, case when state2 = '' then 'mis' else state2 end as f2,
+         st as f3, cast(zip % 50 as varchar) as f4 from base)""",
+    {f"ct{n}": f"count(*) over (partition by {e})" for n, e in {**FEW, **PAIRS}.items()},
+    {"zipcodedmp": "f4", **{f"{n}dmp": e for n, e in PAIRS.items()}},
+    {},
+)
 
 
-@query("v8a_interaction_version")
+@query("v8a_interaction_version", INTERACTION_SQL)
 def v8a(spark, sf):
     train, test, folds = fx.contest(spark, sf)
     fam = Families(zips=("VAR_0241",))
-    return V.interaction_version(train.select("ID", "target", *FEW), test.select("ID", *FEW), folds, fam)
+    raw = ["VAR_0005", "VAR_0274", "VAR_0467", "VAR_0241"]
+    out = V.interaction_version(train.select("ID", "target", *raw), test.select("ID", *raw), folds, fam)
+    return _shown(out)
+
+
+YEARLY = {
+    f"{p}VAR007{n}dmp": f"concat({e}, '_', t{n})"
+    for p, e in {"zip2": "z", "state": "s", "disch": "d"}.items()
+    for n in (3, 5)
+}
+PLACE_SQL = _version_sql(
+    """fac as (select base.id, y, split, fold10, cast(zip % 50 as varchar) as z,
+         case when state2 = '' then 'unk' else state2 end as s, st as d, substr(d1, 6, 2) as t3,
+         coalesce(substr(d2, 6, 2), 'NA') as t5 from base join dates on base.id = dates.id)""",
+    {},
+    {**YEARLY, "statedischdmp": "concat(s, d)"},
+    {f"zipstVAR007{n}": "{stateVAR007%ddmp} / {zip2VAR007%ddmp}" % (n, n) for n in (3, 5)},
+    DATES,
+)
 
 
-@query("v8b_place_year_version")
+@query("v8b_place_year_version", PLACE_SQL)
 def v8b(spark, sf):
     train, test, folds = fx.contest(spark, sf)
-    return V.place_year_version(train, test, folds)
+    return _shown(V.place_year_version(train, test, folds), coarse=("zipstVAR0073", "zipstVAR0075"))
 
 
 @query(

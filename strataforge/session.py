@@ -60,6 +60,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores.
+
+    For tables that many later passes multiply (rows x candidates) or train on:
+    the default partitions of a narrow table are few and would bound the
+    parallelism of every pass.
+    """
+    spark = df.sparkSession
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(wanted, spark.sparkContext.defaultParallelism))
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new folder name below the shared root."""
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
