@@ -39,6 +39,13 @@ def measure(df: DataFrame) -> Size:
     return Size(r["n"], r["b"])
 
 
+def _matches(df: DataFrame, table: DataFrame, pairs: list[tuple[str, str]], null_safe: set[str]) -> Column:
+    each = [
+        df[a].eqNullSafe(table[b]) if a in null_safe else df[a] == table[b] for a, b in pairs
+    ]
+    return reduce(lambda x, y: x & y, each)
+
+
 def lookup(
     df: DataFrame,
     table: DataFrame,
@@ -47,6 +54,7 @@ def lookup(
     size: Size | None = None,
     limit: Size = Size(BROADCAST_ROWS, BROADCAST_BYTES),
     hot_share: float = HOT_SHARE,
+    null_safe: list[str] | None = None,
 ) -> DataFrame:
     """Attach the value columns of ``table`` (unique on ``on``) to ``df``.
 
@@ -58,35 +66,39 @@ def lookup(
       not pile up in one shuffle partition.
     * Larger, no weight: shuffle join, left to AQE.
 
-    Give ``size`` when the table is already written and measured.  ``weight``
-    is dropped from the result.
+    In the columns of ``null_safe`` a NULL finds a NULL.  Give ``size`` when the
+    table is already written and measured.  ``weight`` is dropped.
     """
+    safe = set(null_safe or [])
     values = [c for c in table.columns if c not in on and c != weight]
     if size is None:
         table = cut(table)
         size = measure(table)
-    if size.fits(limit.rows, limit.bytes):
-        return df.join(F.broadcast(table.select(*on, *values)), on, "left").select(
-            *df.columns, *values
-        )
-    if weight is None:
-        return df.join(table.select(*on, *values), on, "left").select(*df.columns, *values)
+    keyed = [F.col(k).alias(f"_t_{k}") for k in on]
+    pairs = [(k, f"_t_{k}") for k in on]
+    if weight is None or size.fits(limit.rows, limit.bytes):
+        right = table.select(*keyed, *values)
+        if size.fits(limit.rows, limit.bytes):
+            right = F.broadcast(right)
+        return df.join(right, _matches(df, right, pairs, safe), "left").select(*df.columns, *values)
 
     total = table.agg(F.sum(weight)).first()[0] or 0
     bound = max(1.0, total * hot_share)
     hot = table.where(F.col(weight) >= bound).select(
-        *on, *[F.col(v).alias(f"_hot_{v}") for v in values], F.lit(True).alias("_served")
+        *keyed, *[F.col(v).alias(f"_hot_{v}") for v in values], F.lit(True).alias("_served")
     )
     cold = table.where(F.coalesce(F.col(weight), F.lit(0)) < bound).select(
-        *on, *[F.col(v).alias(f"_cold_{v}") for v in values], F.lit(0).alias("_salt")
+        *keyed, *[F.col(v).alias(f"_cold_{v}") for v in values], F.lit(0).alias("_zero")
     )
-    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on if k not in safe], F.lit(False))
     # The salt is a function of the row, so a retried task salts its rows alike.
     hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
     spread = F.pmod(F.xxhash64(*hashed), F.lit(SALTS).cast("long")).cast("int") + 1
-    marked = df.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.when(F.col("_served") | missing, spread).otherwise(F.lit(0))
+    marked = (
+        df.join(F.broadcast(hot), _matches(df, hot, pairs, safe), "left")
+        .withColumn("_salt", F.when(F.col("_served") | missing, spread).otherwise(F.lit(0)))
+        .drop(*[t for _, t in pairs])
     )
-    return marked.join(cold, on + ["_salt"], "left").select(
+    return marked.join(cold, _matches(marked, cold, [*pairs, ("_salt", "_zero")], safe), "left").select(
         *df.columns, *[F.coalesce(f"_hot_{v}", f"_cold_{v}").alias(v) for v in values]
     )

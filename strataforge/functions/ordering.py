@@ -140,16 +140,7 @@ def average_rank(
     if percentile:
         rank = rank / F.col("total_n")
     table = table.select(*keys, value, rank.alias(out), F.col("n").alias("_weight"))
-    return _with_null_keys(df, table, keys, value)
-
-
-def _with_null_keys(df: DataFrame, table: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Join by the struct of keys and value: a NULL group is a group like any other."""
-    if not keys:
-        return lookup(df, table, [value], weight="_weight")
-    key = F.when(F.col(value).isNotNull(), F.struct(*keys, value))
-    keyed = table.withColumn("_key", key).drop(*keys, value)
-    return lookup(df.withColumn("_key", key), keyed, ["_key"], weight="_weight").drop("_key")
+    return lookup(df, table, keys + [value], weight="_weight", null_safe=keys)
 
 
 def rank_sums(df: DataFrame, label: str, value: str, keys: list[str] | None = None) -> DataFrame:

@@ -9,18 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strataforge.functions.hashing import md5_bucket
+from strataforge.session import cut
 
 SCORE_MODELS = {"m1": (20, 100), "m2": (40, 100), "m3": (60, 200), "m4": (0, 50)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; a scan with fewer splits than cores is spread over all of them."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation")
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     key, cust, price = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
     chance = 10 + 10 * F.substring("o_orderpriority", 1, 1).cast("int") + cust % 20
     state2 = (
@@ -125,6 +129,7 @@ def contest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
         (10.0 * F.substring("prio", 1, 1).cast("int") + F.col("zip") % 20).alias("VAR_1009"),
         (20.0 * F.substring("prio", 1, 1).cast("int") + 2 * (F.col("zip") % 20) + F.col("fold10")).alias("VAR_1010"),
     )
+    rows = cut(rows)  # the raw tables are files, read many times by a build
     train = rows.where("split = 'train'").drop("split", "fold10")
     test = rows.where("split = 'test'").drop("split", "fold10", "target")
     return train, test, rows.where("split = 'train'").select("ID", "fold10")

@@ -180,7 +180,7 @@ WORTH_SQL = (
 
 
 def _information(spark, sf):
-    df = _signal(spark, sf)
+    df = cut(_signal(spark, sf))
     pairs = R.correlated_pairs(df, ["a", "b", "n2", "n8", "n4"])
     return df, cut(R.pair_information(df, pairs, "y", "fold10"))
 

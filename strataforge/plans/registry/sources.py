@@ -14,7 +14,7 @@ from strataforge.plans import fixtures as fx
 from strataforge.plans.fixture_sql import with_base, with_scores
 from strataforge.plans.registry import query
 from strataforge.plans.score_and_stack import write_scores
-from strataforge.session import fresh_path
+from strataforge.session import cut, fresh_path
 from strataforge.sources import delimited, sinks, sparse_text, store
 
 BASE_SCHEMA = "id long, y int, prio string, state1 string, state2 string, n1 double, n4 double"
@@ -101,7 +101,7 @@ def s6(spark, sf):
 @query("s7_scan_glob_models", with_scores("select model, id as \"ID\", round(score, 6) as target from scores"))
 def s7(spark, sf):
     root = fresh_path(spark, "models")
-    long = fx.scores(spark, sf)
+    long = cut(fx.scores(spark, sf))
     for m in fx.SCORE_MODELS:
         write_scores(long.where(F.col("model") == m), root, "predValid_", m)
     read = delimited.read_scores(spark, root, "predValid_")
@@ -183,7 +183,7 @@ def s12(spark, sf):
 )
 def s13(spark, sf):
     path = fresh_path(spark, "versions")
-    long = fx.scores(spark, sf)
+    long = cut(fx.scores(spark, sf))
     for m in fx.SCORE_MODELS:
         sinks.write_versioned(long.where(F.col("model") == m).select("id", "score"), path, "v9_r5", 10, m)
     return (
