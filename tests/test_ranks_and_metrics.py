@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import functions as F
+
+from strataforge.functions.metrics import auc, auc_by, auc_over_folds, logloss
+from strataforge.functions.ordering import average_rank, hashed_positions, positions, running_totals
+from strataforge.operators import ordered as W
+
+
+def _scores(n=4000, seed=3):
+    rng = np.random.default_rng(seed)
+    # A third of the rows shares one score, and one group holds most rows.
+    score = np.where(rng.random(n) < 1 / 3, 0.5, np.round(rng.random(n), 3))
+    group = np.where(rng.random(n) < 0.7, "hot", rng.choice(["a", "b", "c"], n))
+    y = (rng.random(n) < 0.2 + 0.5 * score).astype(int)
+    return pd.DataFrame({"id": np.arange(n), "g": group, "score": score, "y": y})
+
+
+def _auc(y, s):
+    r = pd.Series(s).rank().to_numpy()
+    pos = y.sum()
+    return (r[y == 1].sum() - pos * (pos + 1) / 2) / (pos * (len(y) - pos))
+
+
+def test_average_rank_matches_pandas_for_any_partitioning(spark):
+    pdf = _scores()
+    want = pdf.groupby("g")["score"].rank().to_numpy()
+    for parts in (1, 13):
+        df = spark.createDataFrame(pdf).repartition(parts)
+        got = average_rank(df, "score", ["g"]).toPandas().sort_values("id")
+        assert np.allclose(got["rank"], want)
+    whole = average_rank(spark.createDataFrame(pdf), "score", percentile=True).toPandas()
+    assert np.allclose(whole.sort_values("id")["rank"], pdf["score"].rank() / len(pdf))
+
+
+def test_rank_with_null_score_and_null_group(spark):
+    rows = [(1, None, 1.0), (2, None, 1.0), (3, None, 2.0), (4, "a", None), (5, "a", 9.0)]
+    df = spark.createDataFrame(rows, "id int, g string, s double")
+    got = {r["id"]: r["rank"] for r in average_rank(df, "s", ["g"]).collect()}
+    assert got == {1: 1.5, 2: 1.5, 3: 3.0, 4: None, 5: 1.0}
+
+
+def test_many_slices_give_the_same_running_totals(spark):
+    pdf = _scores()
+    df = spark.createDataFrame(pdf).repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = running_totals(df, ["id"], ["y"], ["g"]).toPandas().sort_values("id")
+        placed = positions(df, ["id"]).toPandas().sort_values("id")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    before = pdf.groupby("g")["y"].cumsum() - pdf["y"]
+    assert (got["before_y"].to_numpy() == before.to_numpy()).all()
+    assert (placed["position"].to_numpy() == np.arange(len(pdf)) + 1).all()
+    assert (placed["group_rows"] == len(pdf)).all()
+
+
+def test_hashed_positions_number_each_group(spark):
+    df = spark.createDataFrame(_scores()).withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1000)))
+    got = hashed_positions(df, F.col("h"), 1000, ["id"], ["g"]).toPandas()
+    for _, part in got.groupby("g"):
+        assert sorted(part["position"]) == list(range(1, len(part) + 1))
+        ordered = part.sort_values("position")
+        assert ordered["h"].is_monotonic_increasing
+
+
+def test_auc_identities(spark):
+    pdf = _scores()
+    df = spark.createDataFrame(pdf)
+    value = auc(df, "y", "score").first()["auc"]
+    assert value == pytest.approx(_auc(pdf["y"].to_numpy(), pdf["score"]), abs=1e-12)
+    flipped = auc(df.withColumn("score", -F.col("score")), "y", "score").first()["auc"]
+    assert flipped == pytest.approx(1 - value, abs=1e-12)
+    ready = df.withColumn("label", F.col("y").cast("double"))
+    official = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(ready)
+    assert value == pytest.approx(official, abs=1e-12)
+
+
+def test_auc_by_group_and_folds(spark):
+    pdf = _scores().assign(fold=lambda d: d["id"] % 4)
+    df = spark.createDataFrame(pdf)
+    got = {(r["g"], r["fold"]): r["auc"] for r in auc_by(df, "y", "score", ["g", "fold"]).collect()}
+    for key, part in pdf.groupby(["g", "fold"]):
+        assert got[key] == pytest.approx(_auc(part["y"].to_numpy(), part["score"]), abs=1e-12)
+    row = auc_over_folds(df.where("g = 'hot'"), "y", "score", "fold").first()
+    values = [v for (g, _), v in got.items() if g == "hot"]
+    assert row["lower_bound"] == pytest.approx(np.mean(values) - 3 * np.std(values, ddof=1))
+
+
+def test_auc_corner_cases(spark):
+    same = spark.createDataFrame([(0, 0.3), (1, 0.3), (1, 0.3)], "y int, s double")
+    assert auc(same, "y", "s").first()["auc"] == 0.5
+    one = spark.createDataFrame([(1, 0.3), (1, 0.4)], "y int, s double")
+    assert auc(one, "y", "s").first()["auc"] is None
+    assert auc(one.limit(0), "y", "s").first()["auc"] is None
+
+
+def test_logloss_is_finite_at_the_ends(spark):
+    df = spark.createDataFrame([(1, 0.0), (0, 1.0), (1, 1.0)], "y int, p double")
+    got = logloss(df, "y", "p").first()["logloss"]
+    clip = 10e-15
+    want = (-np.log(clip) - np.log(1 - (1 - clip)) - np.log(1 - clip)) / 3
+    assert got == pytest.approx(want)
+
+
+def test_top_and_best(spark):
+    df = spark.createDataFrame([("a", 3.0), ("b", 2.0), ("c", 2.0), ("d", 1.0)], "m string, s double")
+    # b and c share rank 2.5
+    assert {r["m"] for r in W.top_by_rank(df, "s", 2).collect()} == {"a"}
+    tied = spark.createDataFrame([("z", 1.0), ("k", 1.0), ("a", 0.5)], "m string, s double")
+    assert W.best_by(tied, "s", "m").first()["m"] == "k"
