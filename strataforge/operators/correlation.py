@@ -7,6 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
 
+from strataforge.functions.long import melted
 from strataforge.functions.metrics import auc_over_folds
 from strataforge.operators.columns import pair_columns, pair_name
 from strataforge.operators.profile import constant_columns
@@ -63,14 +64,17 @@ def pair_information(
     All derived columns of all pairs are scored in one grouped job.
     """
     listed = [(p["ref_name"], p["dep_name"]) for p in pairs.collect()]
+    if not listed:
+        return df.sparkSession.createDataFrame(
+            [], "ref_name string, dep_name string, xsum double, xdiff double"
+        )
     names = {
         (kind, ref, dep): pair_name(kind, ref, dep, strip)
         for ref, dep in listed
         for kind in ("sum", "diff")
     }
     wide = pair_columns(df.select(label, fold, *{c for p in listed for c in p}), listed, strip=strip)
-    cells = [F.struct(F.lit(n).alias("var"), F.col(n).cast("double").alias("value")) for n in names.values()]
-    long = wide.select(label, fold, F.inline(F.array(*cells)))
+    long = melted(wide, list(names.values()), [label, fold])
     scores = auc_over_folds(long, label, "value", fold, ["var"])
     rows = [(ref, dep, names["sum", ref, dep], names["diff", ref, dep]) for ref, dep in listed]
     keyed = df.sparkSession.createDataFrame(

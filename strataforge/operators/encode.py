@@ -12,6 +12,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strataforge.functions.lookup import BROADCAST_BYTES, BROADCAST_ROWS, Size, lookup, row_bytes
+from strataforge.functions.long import melted
 from strataforge.functions.ordering import positions
 from strataforge.operators.columns import blank_to, with_all
 from strataforge.session import cut
@@ -19,10 +20,7 @@ from strataforge.session import cut
 
 def level_cells(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
     """One row per (row, column): var, level as text, and the kept columns."""
-    cells = [
-        F.struct(F.lit(c).alias("var"), F.col(c).cast("string").alias("level")) for c in cols
-    ]
-    return df.select(*(keep or []), F.inline(F.array(*cells)))
+    return melted(df, cols, keep, "string", value="level")
 
 
 def level_counts(df: DataFrame, cols: list[str]) -> DataFrame:
