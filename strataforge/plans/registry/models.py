@@ -33,7 +33,7 @@ FEATURES = ["a", "n2", "n4", "zip"]
 def _rows(spark, sf):
     """Train, holdout (fold 10) and test rows with planted signal."""
     a = (10 * F.substring("prio", 1, 1).cast("int") + F.col("zip") % 20).cast("double")
-    rows = cut(spread(fx.base(spark, sf).select("id", "y", "fold10", "split", a.alias("a"), "n2", "n4", "zip")))
+    rows = spread(fx.base(spark, sf).select("id", "y", "fold10", "split", a.alias("a"), "n2", "n4", "zip"))
     train = rows.where("split = 'train' and fold10 < 10")
     return train, rows.where("split = 'train' and fold10 = 10"), rows.where("split = 'test'")
 

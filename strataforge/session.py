@@ -20,6 +20,7 @@ def local_session(cpus: str = "*", partitions: int = 8, memory: str = "8g") -> S
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
@@ -61,15 +62,17 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores.
+    """``cut`` for tables that many later passes train on or multiply (rows x candidates).
 
-    For tables that many later passes multiply (rows x candidates) or train on:
-    the default partitions of a narrow table are few and would bound the
-    parallelism of every pass.
+    A small table sits in fewer partitions than there are cores, which would
+    bound every later pass, so it is spread once.  A table that already has
+    enough partitions stays as it is.
     """
-    spark = df.sparkSession
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(wanted, spark.sparkContext.defaultParallelism))
+    written = cut(df)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if written.rdd.getNumPartitions() >= cores:
+        return written
+    return cut(written.repartition(cores))
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
