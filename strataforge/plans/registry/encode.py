@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from strataforge.operators import dates as D
 from strataforge.operators import encode as E
-from strataforge.operators.columns import casted, columns_like, drop_columns, recode_blanks, with_all
+from strataforge.operators.columns import casted, columns_like, drop_columns, recode_blanks
 from strataforge.operators.hashed import hash_features
 from strataforge.operators.response_rate import encode_response_rate, fit_profile, fitting_sums, level_sums
 from strataforge.plans import fixtures as fx
