@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataforge.llm import bpe_codec, token_counts
+from strataforge.llm import bpe_codec, line_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,28 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens",
         (F.col("n_tokens") > 1024).alias("over_limit"),
     )
+
+
+OP3_SQL = """
+with lines as (
+  select doc_id, pos, string_split(coalesce(text, ''), chr(10))[pos] as line
+  from documents, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) as u(pos)
+), keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from lines
+), common as (
+  select key from keyed where length(key) >= 1 group by key having count(distinct doc_id) >= 10
+)
+select doc_id, count(*) as n_lines, count(*) filter (where c.key is not null) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where c.key is null), '')) as kept_sha256
+from keyed left join common c using (key)
+group by doc_id
+"""
+
+
+@query("op3_line_dedup", OP3_SQL)
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.drop_repeated_lines(docs, min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", bpe_codec.text_digest("text").alias("kept_sha256"))
