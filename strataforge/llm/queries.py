@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataforge.llm import bpe_codec, line_dedup, token_counts
+from strataforge.llm import bpe_codec, license_scan, line_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +79,24 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.drop_repeated_lines(docs, min_docs=10, min_chars=1)
     return kept.select("doc_id", "n_lines", "n_dropped", bpe_codec.text_digest("text").alias("kept_sha256"))
+
+
+#: The phrases of the contract and their labels.
+LICENSE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+
+
+@query("op4_license_scan")
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_scan.license_scan(docs, LICENSE_PHRASES)
+    place = lambda i: F.get("places", F.lit(i))["start"].cast("long")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        place(0).alias("first_word"),
+        F.get("places", F.size("places") - 1)["start"].cast("long").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("places", lambda x: x["label"]))), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
