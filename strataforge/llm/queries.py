@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataforge.llm import bpe_codec, license_scan, line_dedup, token_counts
+from strataforge.llm import bpe_codec, license_scan, line_dedup, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,20 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("labels", ",").alias("labels"),
         "score",
     )
+
+
+#: The rules of the contract.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@query("op8_url_filter")
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_filter.url_filter(pages, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
