@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataforge.llm import bpe_codec, license_scan, line_dedup, token_counts, url_filter
+from strataforge.llm import bpe_codec, license_scan, line_dedup, ngram_join, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +117,8 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_filter.url_filter(pages, URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+@query("op2_ngram_join")
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"), k=4, percent=85)
