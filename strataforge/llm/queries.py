@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataforge.llm import bpe_codec, license_scan, line_dedup, ngram_join, token_counts, url_filter
+from strataforge.llm import bpe_codec, license_scan, line_dedup, near_vectors, ngram_join, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +122,8 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_ngram_join")
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+@query("op7_near_vectors")
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
