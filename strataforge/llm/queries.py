@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataforge.llm import bpe_codec, license_scan, line_dedup, near_vectors, ngram_join, token_counts, url_filter
+from strataforge.llm import bpe_codec, license_scan, line_dedup, near_vectors, ngram_join, quality, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +127,9 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_near_vectors")
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.quality_scores(docs).select("doc_id", "junk_posterior", "junk_score", "kept")
