@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataforge.llm import bpe_codec, license_scan, line_dedup, near_vectors, ngram_join, quality, token_counts, url_filter
+from strataforge.llm import (
+    bpe_codec,
+    license_scan,
+    line_dedup,
+    near_vectors,
+    ngram_join,
+    quality,
+    surrogates,
+    token_counts,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -133,3 +143,14 @@ def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.quality_scores(docs).select("doc_id", "junk_posterior", "junk_score", "kept")
+
+
+#: The key of the registered query; a real run brings a secret one.
+SURROGATE_KEY = b"strataforge example key"
+
+
+@query("op9_surrogates")
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    replaced = surrogates.replace_entities(docs, SURROGATE_KEY)
+    return replaced.select("doc_id", "n_entities", F.array_join("kinds", ",").alias("kinds"), "text")
