@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strataforge.llm import (
     bpe_codec,
+    decontaminate,
     license_scan,
     line_dedup,
     near_vectors,
@@ -154,3 +155,8 @@ def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     replaced = surrogates.replace_entities(docs, SURROGATE_KEY)
     return replaced.select("doc_id", "n_entities", F.array_join("kinds", ",").alias("kinds"), "text")
+
+
+@query("op10_decontaminate")
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
