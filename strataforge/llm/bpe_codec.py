@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from strataforge.llm.bpe import Vocabulary, WordCache
+from strataforge.llm.naming import others
 from strataforge.llm.pretokens import WORD_PATTERN, Splitter
 
 #: Characters of text that are worked on at a time.
@@ -76,7 +77,7 @@ def round_trip(
     spark = docs.sparkSession
     content = read_text(spark, tokenizer)
     shared = spark.sparkContext.broadcast((Vocabulary.from_json(content), content))
-    kept = [c for c in docs.columns if c not in (ids, decoded)]
+    kept = others(docs.columns, (ids, decoded))
     source = docs.select(*[F.col(f"`{c}`") for c in kept])
     schema = StructType(
         [*source.schema.fields, StructField(ids, ArrayType(IntegerType())), StructField(decoded, StringType())]

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from strataforge.functions.matrices import tree_merge
 from strataforge.llm.bytewords import ALNUM, text_bytes, word_hashes
+from strataforge.llm.naming import unused
 from strataforge.session import cut
 
 #: Slots of the table of word weights (1 MB).
@@ -268,5 +269,6 @@ def _named(found: DataFrame, id: str, item: str) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", **names) -> DataFrame:
     """The documents that hold no benchmark item.  Rows with a null id stay."""
-    dirty = leaks(docs, benchmark, id=id, **names).select(F.col(id).alias("_dirty")).distinct()
-    return docs.join(dirty, F.col(f"`{id}`") == F.col("_dirty"), "left_anti")
+    name = unused(docs.columns, "_dirty")
+    dirty = leaks(docs, benchmark, id=id, **names).select(F.col(id).alias(name)).distinct()
+    return docs.join(dirty, F.col(f"`{id}`") == F.col(name), "left_anti")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from strataforge.llm.license_rules import rules
 from strataforge.llm.line_dedup import lower_ascii
+from strataforge.llm.naming import others
 
 #: Words: runs of letters, digits and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -120,9 +121,9 @@ def license_scan(docs: DataFrame, phrases: dict[str, str], text: str = "text") -
     table = rules()
     keywords = sorted({w for r in table for w in r["words"]} | {w for p in phrases for w in p.split()})
     added = ("n_words", "places", "detections", "labels", "score")
-    kept = [c for c in docs.columns if c not in added]
+    kept = others(docs.columns, added)
     worded = docs.select(
-        *[F.col(f"`{c}`") for c in kept],
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_in"),
         F.regexp_extract_all(lower_ascii(F.coalesce(F.col(f"`{text}`"), F.lit(""))), F.lit(WORD), F.lit(0)).alias("_words"),
     )
     # The gate: which keywords occur at all.
@@ -145,7 +146,7 @@ def license_scan(docs: DataFrame, phrases: dict[str, str], text: str = "text") -
     joined = chosen.select("*", spaced.alias("_spaced"))
     raw = F.flatten(F.transform("_rules", lambda r: _matches(F.col("_spaced"), r)))
     detected = joined.select(
-        *[F.col(f"`{c}`") for c in kept],
+        "_in",
         F.size("_words").cast("long").alias("n_words"),
         "places",
         _suppress(raw).alias("detections"),
@@ -155,7 +156,10 @@ def license_scan(docs: DataFrame, phrases: dict[str, str], text: str = "text") -
     )
     best = F.array_max(F.transform("detections", lambda x: x["confidence"]))
     return detected.select(
-        "*",
+        *[F.col(f"_in.`{c}`").alias(c) for c in kept],
+        "n_words",
+        "places",
+        "detections",
         F.array_sort(F.array_distinct(names)).alias("labels"),
         F.coalesce(best, F.when(F.size("places") > 0, 0.5), F.lit(0.0)).alias("score"),
     )

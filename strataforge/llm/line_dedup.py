@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from strataforge.llm.naming import others
+
 #: A key with this share of all lines is dealt over CELLS cells.
 HOT_SHARE, CELLS, TRACKED = 1 / 256, 256, 4096
 
@@ -128,17 +130,19 @@ def drop_repeated_lines(
     replaced); an empty table stays empty.
     """
     bitmaps = keep_bitmaps(docs, id, text, min_docs=min_docs, min_chars=min_chars, keep_first=keep_first)
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    marked = docs.select(*[F.col(f"`{c}`") for c in kept], _row_hash(F.col(f"`{text}`")).alias("_own_row"))
-    # The bitmaps are the small side, so the texts are moved once and not sorted.
-    right = bitmaps.withColumnRenamed("id", "_id").hint("shuffle_hash")
-    joined = marked.join(right, marked[f"`{id}`"].eqNullSafe(right["_id"]) & (marked["_own_row"] == right["_row"]), "left")
-    lines = lines_of(F.col(f"`{text}`"))
-    shorter = F.when(F.col("dropped_runs").isNull(), F.coalesce(F.col(f"`{text}`"), F.lit(""))).otherwise(
-        F.array_join(_kept(lines, F.col("dropped_runs")), "\n")
+    kept = others(docs.columns, ("n_lines", "n_dropped"))
+    source = F.col(f"`{text}`")
+    marked = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_in"), F.col(f"`{id}`").alias("_own"), _row_hash(source).alias("_own_row")
     )
+    # The bitmaps are the small side, so the texts are moved once and not sorted.
+    right = bitmaps.hint("shuffle_hash")
+    joined = marked.join(right, marked["_own"].eqNullSafe(right["id"]) & (marked["_own_row"] == right["_row"]), "left")
+    whole = F.coalesce(F.col(f"_in.`{text}`"), F.lit(""))
+    lines = lines_of(whole)
+    shorter = F.when(F.col("dropped_runs").isNull(), whole).otherwise(F.array_join(_kept(lines, F.col("dropped_runs")), "\n"))
     return joined.select(
-        *[shorter.alias(text) if c == text else F.col(f"`{c}`") for c in kept],
+        *[shorter.alias(c) if c == text else F.col(f"_in.`{c}`").alias(c) for c in kept],
         F.size(lines).cast("long").alias("n_lines"),
         F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
     )

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
+from strataforge.llm.naming import others
 from strataforge.llm.text_signals import ABSTAIN, LABELLERS, measures, votes
 
 #: Documents the scorer is fitted on, by the order of a hash of the id.
@@ -155,7 +156,7 @@ def quality_scores(docs: DataFrame, id: str = "doc_id", text: str = "text", rows
     empty table stays empty.  Fitted on at most ``rows`` ids; all else covers all rows.
     """
     added = ("junk_posterior", "junk_score", "kept")
-    kept = [c for c in docs.columns if c not in added]
+    kept = others(docs.columns, added)
     slim = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     found = pattern_counts(slim)
     patterns = np.array([p for p, _ in found] or [int(ABSTAIN * _POWERS.sum())], dtype=np.int64)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strataforge.llm import bpe_codec, decontaminate, line_dedup, ngram_join, quality
+from strataforge.llm.naming import unused
 
 #: Near duplicates in the pipeline: words of a shingle and similarity in percent.
 SHINGLE, PERCENT = 5, 80
@@ -27,9 +28,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Documents without words are no duplicates of each other; rows without an id stay.
     """
+    name = unused(docs.columns, "_gone")
     groups = ngram_join.ngram_components(docs, k=SHINGLE, percent=PERCENT)
-    gone = groups.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select(*docs.columns)
+    gone = groups.where("component_id < doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

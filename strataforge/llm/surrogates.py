@@ -18,6 +18,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from strataforge.functions.lookup import measure
 from strataforge.llm.entities import Surrogates, detect, written_like
+from strataforge.llm.naming import others, unused
 from strataforge.session import cut
 
 #: An entity that has failed so often is an error; names get longer with the attempts.
@@ -86,7 +87,7 @@ def replace_entities(docs: DataFrame, key: bytes, id: str = "doc_id", text: str
     come to hold one of them as a value of its own.
     """
     added = ("n_entities", "kinds")
-    kept = [c for c in docs.columns if c not in added]
+    kept = others(docs.columns, added)
     source = docs.select(*[F.col(f"`{c}`") for c in kept])
     late = cut(exceptions(cut(found_entities(docs, text)), key))
     schema = StructType(
@@ -117,7 +118,9 @@ def replace_entities(docs: DataFrame, key: bytes, id: str = "doc_id", text: str
 
     mine = slim.mapInArrow(own, "_row long, kind string, value string").join(late, ["kind", "value"])
     packed = mine.groupBy("_row").agg(F.collect_set(F.struct("kind", "value", "made")).alias("_late"))
-    joined = source.withColumn("_row", row).join(packed, "_row", "left").select(*[F.col(f"`{c}`") for c in kept], "_late")
+    key_name, late_name = unused(kept, "_row"), unused(kept, "_late")
+    packed = packed.select(F.col("_row").alias(key_name), F.col("_late").alias(late_name))
+    joined = source.withColumn(key_name, row).join(packed, key_name, "left").select(*[F.col(f"`{c}`") for c in kept], late_name)
     return joined.mapInArrow(_rewrite(None, key, kept, text, len(kept)), schema)
 
 

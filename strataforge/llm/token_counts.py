@@ -12,6 +12,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from strataforge.llm.bpe import Vocabulary
 from strataforge.llm.bpe_codec import read_text, slices
+from strataforge.llm.naming import others
 from strataforge.llm.pretokens import SPACED_PATTERN, Splitter
 
 #: Rows of the broadcast table, rows a task may report, distinct words a task counts at a time.
@@ -72,7 +73,7 @@ def token_counts(
     spelled = [w.encode("utf-8").decode("latin-1") for w in words]
     lengths = np.array([len(x) for x in vocabulary.encode_words(spelled)], dtype=np.uint16)
     shared = spark.sparkContext.broadcast((vocabulary, content, pa.array(words, pa.string()), lengths))
-    kept = [c for c in docs.columns if c != out]
+    kept = others(docs.columns, (out,))
     source = docs.select(*[F.col(f"`{c}`") for c in kept])
     schema = StructType([*source.schema.fields, StructField(out, LongType())])
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from strataforge.functions.lookup import lookup
 from strataforge.llm.line_dedup import lower_ascii
+from strataforge.llm.naming import others
 from strataforge.session import cut
 
 #: Labelled rows that the trees are fitted on, half of each verdict at most.
@@ -95,7 +96,7 @@ def url_filter(
     an empty table stays empty.
     """
     added = ("host", "path", "rule", "verdict", "block_score")
-    kept = [c for c in pages.columns if c not in added]
+    kept = others(pages.columns, added)
     source = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_in")
     host, path = host_and_path(F.col("_url"))
     parsed = pages.select(source, F.coalesce(F.col(f"`{url}`"), F.lit("")).alias("_url")).select(
