@@ -1,0 +1,83 @@
+"""Near-duplicate vectors against all pairs."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from strataforge.llm import near_vectors as module
+from strataforge.llm.near_vectors import near_vectors
+
+
+def by_hand(rows, threshold):
+    sound = [
+        i for i, (k, v) in enumerate(rows)
+        if k is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+    ]
+    sizes = [len(rows[i][1]) for i in sound]
+    if sizes:
+        d = max(set(sizes), key=lambda s: (sizes.count(s), s))
+        sound = [i for i in sound if len(rows[i][1]) == d]
+    x = np.array([rows[i][1] for i in sound], dtype=np.float64).reshape(len(sound), -1)
+    x = x / np.abs(x).max(axis=1, keepdims=True) if len(sound) else x
+    x = x / np.linalg.norm(x, axis=1, keepdims=True) if len(sound) else x
+    linked = x @ x.T >= threshold if len(sound) else np.zeros((0, 0), bool)
+    ids = np.array([rows[i][0] for i in sound])
+    label = ids.copy()
+    while len(label):
+        new = np.array([label[row].min() if row.any() else label[k] for k, row in enumerate(linked)])
+        new = np.minimum(new, label)
+        if (new == label).all():
+            break
+        label = new
+    out = {i: (rows[i][0], 0, rows[i][0], True) for i in range(len(rows))}
+    for k, i in enumerate(sound):
+        out[i] = (rows[i][0], int(linked[k].sum()) - 1, int(label[k]), bool(label[k] == ids[k]))
+    return sorted(out.values(), key=str)
+
+
+def some_vectors(seed, n, d):
+    rnd = np.random.default_rng(seed)
+    centres = rnd.standard_normal((n // 6, d))
+    x = centres[rnd.integers(0, len(centres), n)] + rnd.standard_normal((n, d)) * rnd.choice([0.0, 0.02, 0.15, 0.4], (n, 1))
+    return [(int(i), [float(np.float32(v)) for v in row]) for i, row in enumerate(x)]
+
+
+@pytest.mark.parametrize("d,threshold", [(48, 0.95), (20, 0.8), (3, 0.999)])
+def test_all_pairs(spark, monkeypatch, d, threshold):
+    monkeypatch.setattr(module, "TILE", 64)
+    monkeypatch.setattr(module, "BAND", 16)
+    rows = some_vectors(d, 500, d)
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(6)
+    got = near_vectors(vectors, threshold=threshold)
+    assert sorted(map(tuple, got.collect()), key=str) == by_hand(rows, threshold)
+
+
+def test_table(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [tuple(r) for r in vectors.select("vec_id", "embedding").collect()]
+    assert sorted(map(tuple, near_vectors(vectors).collect()), key=str) == by_hand(rows, 0.95)
+
+
+def test_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [5.0, 0.1]), (4, None), (5, []), (6, [0.0, 0.0]), (7, [nan, 1.0]), (8, [inf, 1.0]),
+        (9, [None, 1.0]), (10, [1.0, 0.0, 0.0]), (11, [1e300, 1e298]), (12, [1e-300, 0.0]), (13, [-1.0, 0.0]), (None, [1.0, 0.0]), (2, [1.0, 0.0]),
+    ]
+    schema = "vec_id long, embedding array<double>, rep int, kept string"
+    vectors = spark.createDataFrame([(*r, 1, "x") for r in rows], schema)
+    got = sorted(map(tuple, near_vectors(vectors).collect()), key=str)
+    want = [(k, n, None if k is None else c, f) for k, n, c, f in by_hand(rows, 0.95)]
+    assert got == sorted(want, key=str)
+    assert near_vectors(vectors.limit(0)).count() == 0
+    assert near_vectors(vectors.where("vec_id between 4 and 9")).where("n_links = 0 and kept").count() == 6
+
+
+def test_no_pairs_leave_a_meeting(spark):
+    """One large group of near copies gives counts and a spanning set, not its square."""
+    rnd = np.random.default_rng(1)
+    rows = [(i, (np.eye(8)[0] + 0.01 * rnd.standard_normal(8)).tolist()) for i in range(600)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = near_vectors(vectors).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(599, 0)}
