@@ -109,11 +109,12 @@ def contiguous_folds(df: DataFrame, order: list[str], k: int, out: str = "block"
 
 
 def equal_split(df: DataFrame, row_id: str, parts: int, tag: str = "equal", out: str = "part") -> DataFrame:
-    """Shuffled blocks of one size, the last one shorter."""
+    """Shuffled blocks whose sizes differ by at most one, the larger ones first; fewer rows than parts leave parts empty."""
     placed = shuffled(df, row_id, tag, None, "_p")
-    n = F.col("group_rows")
-    size = (n + parts - n % parts) / parts
-    block = F.ceil(F.col("_p") / size)
+    n, p = F.col("group_rows"), F.col("_p") - 1
+    small, extra = F.floor(n / parts), n % parts
+    in_larger = F.floor(p / (small + 1))
+    block = F.when(p < extra * (small + 1), in_larger).otherwise(extra + F.floor(F.try_divide(p - extra * (small + 1), small))) + 1
     return placed.select(*_others(df, out), block.cast("int").alias(out))
 
 

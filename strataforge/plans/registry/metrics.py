@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strataforge.functions import metrics as H
-from strataforge.functions.ordering import average_rank
+from strataforge.functions.ordering import average_rank, positions
 from strataforge.operators import blend as B
 from strataforge.operators import ordered as W
 from strataforge.operators.encode import level_counts
@@ -16,6 +16,7 @@ from strataforge.plans.fixture_sql import auc_sql, with_base, with_scores
 from strataforge.plans.hashed_learning import hashed_rows
 from strataforge.plans.registry import query
 from strataforge.plans.registry.encode import HASHED_SQL, SLOTS
+from strataforge.session import cut
 
 FOLDED_SQL = "folded as (select scores.*, fold10 from scores join base using (id, y))"
 FOLD_AUC_SQL = "fold_auc as (" + auc_sql("folded", "model, fold10") + ")"
@@ -207,10 +208,15 @@ def w4(spark, sf):
     return out.select("seq", F.round("running_mean", 6).alias("running_mean"))
 
 
-@query("w5_sort", with_scores("select id, model, round(score, 6) as score from scores"))
+@query(
+    "w5_sort",
+    with_scores("select id, model, round(score, 6) as score, row_number() over (order by model, score, id) as position from scores"),
+)
 def w5(spark, sf):
-    out = W.sorted_rows(fx.scores(spark, sf), ["model", "score", "id"])
-    return out.select("id", "model", F.round("score", 6).alias("score"))
+    # The place of a row in the sorted table: parts of the table in order, and rows in order inside a part.
+    out = cut(W.sorted_rows(fx.scores(spark, sf), ["model", "score", "id"]))
+    placed = out.withColumn("_at", F.monotonically_increasing_id())
+    return positions(placed, ["_at"]).select("id", "model", F.round("score", 6).alias("score"), "position")
 
 
 @query("w6_batch_rows", with_base("select id, cast(ceil(row_number() over (order by id) / cast(4000 as double)) as bigint) as batch from base"))

@@ -48,7 +48,7 @@ def m1(spark, sf):
 def m2(spark, sf):
     train, valid, test = _rows(spark, sf)
     config = M.BoostConfig("v9_r5", 10, 0.1, 8, 0.5, 0.5, 4, 0.1, 15, 5)
-    model = M.fit_early_stopped(M.boosted_trees(config), train, valid, FEATURES, patience=config.patience)
+    model = M.fit_early_stopped(M.boosted_trees(config, train.count()), train, valid, FEATURES, patience=config.patience)
     return model.score(test)
 
 

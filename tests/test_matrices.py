@@ -55,7 +55,7 @@ def test_moments_and_fits(spark):
     got = grouped_moments(df, cols, "g", "w")
     for g, part in pdf.groupby("g"):
         x = np.column_stack([np.ones(len(part)), part[cols].to_numpy()])
-        assert np.allclose(got[g], (x * part["w"].to_numpy()[:, None]).T @ x)
+        assert np.allclose(got[g].raw(), (x * part["w"].to_numpy()[:, None]).T @ x)
     total = sum(got.values())
     for alpha, lam in ((0.0, 0.05), (0.5, 0.05), (1.0, 0.02)):
         mine = elastic_net_fit(total, 4, alpha, lam)
