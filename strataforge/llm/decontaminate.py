@@ -27,15 +27,21 @@ from strataforge.session import cut
 
 #: Slots of the table of word weights (1 MB).
 SLOT_BITS = 18
-#: Words of a passage and of a window, and their steps.
-PASSAGE, WINDOW, STEP = 64, 32, 16
+#: Words of a passage at most.
+PASSAGE = 64
+#: Passages of fewer words than the first are sought in short windows; words of short and of long windows, which
+#: overlap by half.
+SHORT, WINDOWS = 24, (16, 32)
+#: Rarity counts with this power, so that a window of common words is far from everything.
+POWER = 3
 #: Passages of a block (their number varies around it), blocks searched in one pass, latent dimensions at most.
 BLOCK, PER_PASS, RANK = 192, 8, 224
 #: Items with fewer words are too common to be told from chance.
 SHORTEST = 5
 #: Cosine of candidates; share of a passage in the common subsequence; the same with its answer's share.
-COSINE, VERBATIM, PARAPHRASE, ANSWER = 0.33, 0.8, 0.6, 0.8
-ROWS = 512
+COSINE, VERBATIM, PARAPHRASE, ANSWER = 0.35, 0.8, 0.6, 0.8
+#: Texts, and windows, worked on at a time.
+ROWS, CHUNK = 512, 4096
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -52,7 +58,7 @@ def _slots(words: np.ndarray) -> np.ndarray:
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
-    """Weight of each slot: log of all words over the slot's, counted over all documents."""
+    """Weight of each slot: a power of the log of all words over the slot's, counted over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SLOT_BITS, dtype=np.int64)
@@ -70,7 +76,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
     sums = tree_merge(docs.select("text").mapInArrow(run, "part int, g int, m binary"), merge)
     counts = np.frombuffer(sums[0], dtype=np.int64) if sums else np.zeros(1 << SLOT_BITS, np.int64)
-    return np.log((counts.sum() + 2.0) / (counts + 1.0)).astype(np.float32)
+    return (np.log((counts.sum() + 2.0) / (counts + 1.0)) ** POWER).astype(np.float32)
 
 
 def passages(benchmark: DataFrame, id: str, text: str) -> DataFrame:
@@ -95,9 +101,9 @@ def passages(benchmark: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def _row(words: np.ndarray, vocabulary: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A passage's TF-IDF row of unit length over the block's vocabulary."""
-    at, times = np.unique(np.searchsorted(vocabulary, words), return_counts=True)
-    value = times * weight[_slots(vocabulary[at])].astype(np.float64)
+    """A passage's row of unit length over the block's vocabulary; a word counts once."""
+    at = np.unique(np.searchsorted(vocabulary, words))
+    value = weight[_slots(vocabulary[at])].astype(np.float64)
     return at, value / max(np.sqrt((value * value).sum()), 1e-12)
 
 
@@ -136,12 +142,16 @@ def randomised_svd(rows: DataFrame, vocabulary: np.ndarray, weight: np.ndarray,
 
 
 class Block:
-    """Some passages: their words, vocabulary, latent word vectors and latent rows."""
+    """Some passages of like length: their words, vocabulary, latent word vectors and latent rows."""
 
-    def __init__(self, items: list[int], words: list[np.ndarray], vocabulary: np.ndarray, weight: np.ndarray, turn: np.ndarray) -> None:
-        self.items, self.words, self.vocabulary = items, words, vocabulary
+    def __init__(
+        self, window: int, items: list[int], words: list[np.ndarray], vocabulary: np.ndarray, weight: np.ndarray, turn: np.ndarray
+    ) -> None:
+        self.window, self.items, self.words, self.vocabulary = window, items, words, vocabulary
+        own = weight[_slots(vocabulary)].astype(np.float64)
         # The last row stands for words that no passage has.
-        self.latent = np.vstack([turn * weight[_slots(vocabulary)][:, None], np.zeros(turn.shape[1])]).astype(np.float32)
+        self.square = np.append(own**2, 0.0)
+        self.latent = np.vstack([turn * own[:, None], np.zeros(turn.shape[1])]).astype(np.float32)
         rows = [_row(w, vocabulary, weight) for w in words]
         self.rows = np.stack([value @ turn[at] for at, value in rows]).astype(np.float32)
 
@@ -163,34 +173,41 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - bin(state).count("1")
 
 
-def _windows(firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first word, end) of all windows of texts whose words begin at ``firsts``."""
-    n = np.diff(firsts)
-    many = np.where(n > 0, np.maximum(1, -(-(n - STEP) // STEP)), 0)
+def _windows(firsts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, end) of all windows, each beginning in the middle of the one before, of texts that begin at ``firsts``."""
+    n, step = np.diff(firsts), size // 2
+    many = np.where(n > 0, np.maximum(1, -(-(n - step) // step)), 0)
     text = np.repeat(np.arange(len(n)), many)
     k = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-    start = firsts[text] + k * STEP
-    return text, start, np.minimum(start + WINDOW, firsts[text + 1])
+    start = firsts[text] + k * step
+    return text, start, np.minimum(start + size, firsts[text + 1])
 
 
-def _candidates(block: Block, words: np.ndarray, start: np.ndarray, end: np.ndarray, mass: np.ndarray, weight: np.ndarray):
-    """(window, passage, cosine) at COSINE or more."""
+def _candidates(block: Block, words: np.ndarray, start: np.ndarray, end: np.ndarray, square: np.ndarray):
+    """(windows, passages, cosines) at COSINE or more.
+
+    By Cauchy and Schwarz a window's cosine with any passage is at most the share
+    that the block's words have of its length, so windows below that are left out.
+    """
+    none = len(block.vocabulary)
     at = np.searchsorted(block.vocabulary, words)
-    at[at == len(block.vocabulary)] = 0
-    known = block.vocabulary[at] == words
-    square = np.where(known, weight[_slots(words)].astype(np.float64) ** 2, 0.0)
-    own = np.concatenate([[0.0], np.cumsum(square)])
-    # Half of what the bound asks for, as a window may repeat words.
-    gate = np.flatnonzero(own[end] - own[start] >= 0.5 * COSINE**2 * mass)
-    at = np.append(np.where(known, at, len(block.vocabulary)), len(block.vocabulary))
-    for lo in range(0, len(gate), 512):
-        w = gate[lo : lo + 512]
-        index = start[w][:, None] + np.arange(WINDOW)
-        index = np.where(index < end[w][:, None], index, len(words))
-        folded = block.latent[at[index]].sum(axis=1)
-        cosine = folded @ block.rows.T / np.sqrt(mass[w]).astype(np.float32)[:, None]
-        i, k = np.nonzero(cosine >= COSINE)
-        yield w[i], k, cosine[i, k]
+    at[at == none] = 0
+    at = np.where(block.vocabulary[at] == words, at, none).astype(np.int32)
+    other = np.concatenate([[0.0], np.cumsum(np.where(at == none, square, 0.0))])
+    at = np.append(at, np.int32(none))
+    for lo in range(0, len(start), CHUNK):
+        first, last = start[lo : lo + CHUNK], end[lo : lo + CHUNK]
+        index = first[:, None] + np.arange(block.window)
+        own = np.sort(at[np.where(index < last[:, None], index, len(words))], axis=1)
+        own[:, 1:][own[:, 1:] == own[:, :-1]] = none
+        mass = block.square[own].sum(axis=1)
+        length = np.sqrt(mass + other[last] - other[first]) + 1e-12
+        gate = np.flatnonzero(mass >= (COSINE * length) ** 2)
+        for k in range(0, len(gate), 512):
+            w = gate[k : k + 512]
+            cosine = block.latent[own[w]].sum(axis=1) @ block.rows.T / length[w, None]
+            i, passage = np.nonzero(cosine >= COSINE)
+            yield lo + w[i], passage, cosine[i, passage]
 
 
 def _search(docs: DataFrame, shared) -> DataFrame:
@@ -200,15 +217,12 @@ def _search(docs: DataFrame, shared) -> DataFrame:
         for batch in batches:
             for part in _parts(batch):
                 words, firsts = _words(part.column(1))
-                text, start, end = _windows(firsts)
-                if not len(text):
-                    continue
                 square = weight[_slots(words)].astype(np.float64) ** 2
-                total = np.concatenate([[0.0], np.cumsum(square)])
-                mass = np.maximum(total[end] - total[start], 1e-12)
+                windows = {size: _windows(firsts, size) for size in {b.window for b in blocks}}
                 found: dict[tuple[int, int], tuple] = {}
                 for b, block in enumerate(blocks):
-                    for window, passage, cosine in _candidates(block, words, start, end, mass, weight):
+                    text, start, end = windows[block.window]
+                    for window, passage, cosine in _candidates(block, words, start, end, square):
                         for w, k, c in zip(window.tolist(), passage.tolist(), cosine.tolist()):
                             t, p = int(text[w]), block.words[k]
                             lo = max(int(firsts[t]), int(start[w]) - len(p))
@@ -242,23 +256,29 @@ def leaks(
     source = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     source = source.where("id is not null")
     queried = cut(passages(benchmark, item, item_text))
-    n_blocks = math.ceil(queried.count() / BLOCK)
     found = spark.createDataFrame([], "id long, item long, lcs double, answer double, cosine double")
-    if not n_blocks:
+    is_short = F.octet_length("words") < 8 * SHORT
+    counts = {r["short"]: r["count"] for r in queried.groupBy(is_short.alias("short")).count().collect()}
+    if not counts:
         return _named(found, id, item)
     weight = rarity(source)
-    dealt = queried.withColumn("block", F.pmod(F.xxhash64("item", "part"), F.lit(n_blocks)))
-    for first in range(0, n_blocks, PER_PASS):
+    ready = [
+        (WINDOWS[0] if short else WINDOWS[1], queried.where(is_short == short), math.ceil(n / BLOCK), b)
+        for short, n in sorted(counts.items())
+        for b in range(math.ceil(n / BLOCK))
+    ]
+    for first in range(0, len(ready), PER_PASS):
         blocks = []
-        for b in range(first, min(first + PER_PASS, n_blocks)):
-            rows = dealt.where(F.col("block") == b)
+        for window, table, n_blocks, b in ready[first : first + PER_PASS]:
+            rows = table.where(F.pmod(F.xxhash64("item", "part"), F.lit(n_blocks)) == b)
             own = sorted((r["item"], r["part"], bytes(r["words"])) for r in rows.collect())
             if own:
                 words = [np.frombuffer(w, dtype=np.uint64) for _, _, w in own]
                 vocabulary = np.unique(np.concatenate(words))
                 turn = randomised_svd(rows, vocabulary, weight, min(RANK, len(own), len(vocabulary)))
-                blocks.append(Block([i for i, _, _ in own], words, vocabulary, weight, turn))
-        found = found.unionByName(_search(source, spark.sparkContext.broadcast((blocks, weight))))
+                blocks.append(Block(window, [i for i, _, _ in own], words, vocabulary, weight, turn))
+        if blocks:
+            found = found.unionByName(_search(source, spark.sparkContext.broadcast((blocks, weight))))
     best = found.groupBy("id", "item").agg(F.max(F.struct("lcs", "answer", "cosine")).alias("best"))
     return _named(best.select("id", "item", "best.lcs", "best.answer", "best.cosine"), id, item)
 
