@@ -46,6 +46,17 @@ def _matches(df: DataFrame, table: DataFrame, pairs: list[tuple[str, str]], null
     return reduce(lambda x, y: x & y, each)
 
 
+def hot_hashes(df: DataFrame, on: list[str], share: float) -> list[int]:
+    """Hashes of the keys that hold at least ``share`` of the rows of ``df``, by a sketch of bounded size.
+
+    A key that the sketch misses costs time, not the answer.
+    """
+    keys = ", ".join(f"`{k}`" for k in on)
+    most = max(1, round(1 / share))
+    found = df.agg(F.expr(f"approx_top_k(xxhash64({keys}), {most}, {16 * most})").alias("top"), F.count("*").alias("n")).first()
+    return [r["item"] for r in found["top"] or [] if r["count"] >= max(2, found["n"] * share)]
+
+
 def lookup(
     df: DataFrame,
     table: DataFrame,
@@ -59,15 +70,15 @@ def lookup(
     """Attach the value columns of ``table`` (unique on ``on``) to ``df``.
 
     * Measured size within ``limit``: broadcast, so ``df`` is not moved.
-    * Larger, with a ``weight`` (rows of ``df`` per key): keys holding at least
-      ``hot_share`` of the rows go by broadcast -- there are at most
-      1/hot_share of them -- and the rest by an ordinary shuffle join.  Rows
-      already served, and rows with a NULL key, carry a salt so that they do
-      not pile up in one shuffle partition.
-    * Larger, no weight: shuffle join, left to AQE.
+    * Larger: keys that hold at least ``hot_share`` of the rows of ``df``, whether
+      the table has them or not -- there are at most 1/hot_share of them -- go by
+      broadcast, and the rest by an ordinary shuffle join.  Rows of hot keys, and
+      rows with a NULL key, carry a salt so that they do not pile up in one
+      shuffle partition.
 
     In the columns of ``null_safe`` a NULL finds a NULL.  Give ``size`` when the
-    table is already written and measured.  ``weight`` is dropped.
+    table is already written and measured.  ``weight`` names a column of the table
+    that is not attached.
     """
     safe = set(null_safe or [])
     values = [c for c in table.columns if c not in on and c != weight]
@@ -76,26 +87,26 @@ def lookup(
         size = measure(table)
     keyed = [F.col(k).alias(f"_t_{k}") for k in on]
     pairs = [(k, f"_t_{k}") for k in on]
-    if weight is None or size.fits(limit.rows, limit.bytes):
-        right = table.select(*keyed, *values)
-        if size.fits(limit.rows, limit.bytes):
-            right = F.broadcast(right)
+    if size.fits(limit.rows, limit.bytes):
+        right = F.broadcast(table.select(*keyed, *values))
         return df.join(right, _matches(df, right, pairs, safe), "left").select(*df.columns, *values)
 
-    total = table.agg(F.sum(weight)).first()[0] or 0
-    bound = max(1.0, total * hot_share)
-    hot = table.where(F.col(weight) >= bound).select(
-        *keyed, *[F.col(v).alias(f"_hot_{v}") for v in values], F.lit(True).alias("_served")
-    )
-    cold = table.where(F.coalesce(F.col(weight), F.lit(0)) < bound).select(
-        *keyed, *[F.col(v).alias(f"_cold_{v}") for v in values], F.lit(0).alias("_zero")
+    # Keys of both sides as one type, so that equal keys have equal hashes.
+    as_df = [F.col(f"_t_{k}").cast(df.schema[k].dataType) for k in on]
+    hashes = hot_hashes(df, on, hot_share) or [0]
+    is_hot = lambda cols: F.xxhash64(*cols).isin(hashes)
+    marked_df = df.withColumn("_served", is_hot([F.col(k) for k in on]))
+    all_rows = table.select(*keyed, *values).withColumn("_served", is_hot(as_df))
+    hot = all_rows.where("_served").select(*[t for _, t in pairs], *[F.col(v).alias(f"_hot_{v}") for v in values])
+    cold = all_rows.where("not _served").select(
+        *[t for _, t in pairs], *[F.col(v).alias(f"_cold_{v}") for v in values], F.lit(0).alias("_zero")
     )
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on if k not in safe], F.lit(False))
     # The salt is a function of the row, so a retried task salts its rows alike.
     hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
     spread = F.pmod(F.xxhash64(*hashed), F.lit(SALTS).cast("long")).cast("int") + 1
     marked = (
-        df.join(F.broadcast(hot), _matches(df, hot, pairs, safe), "left")
+        marked_df.join(F.broadcast(hot), _matches(marked_df, hot, pairs, safe), "left")
         .withColumn("_salt", F.when(F.col("_served") | missing, spread).otherwise(F.lit(0)))
         .drop(*[t for _, t in pairs])
     )

@@ -46,11 +46,11 @@ def attach_by_level(
 ) -> DataFrame:
     """Look up ``value`` of (var, level) for each column; ``name(c)`` names the result.
 
-    ``table`` is written once and measured per column in one job.  Columns with
-    small level tables are broadcast, all without moving ``df``.  Columns with
-    large ones would each shuffle the wide table; given a ``row_id``, they are
-    instead looked up together as narrow (id, var, level) rows, with one join,
-    one regrouping by id, and one join back.
+    ``table`` is written once and measured per column in one job.  The columns with
+    the smallest level tables are broadcast, as many as ``limit`` holds together,
+    all without moving ``df``.  The others would each shuffle the wide table; given
+    a ``row_id``, they are instead looked up together as narrow (id, var, level)
+    rows, with one join, one regrouping by id, and one join back.
     """
     extra = on_extra or []
     table = cut(table)
@@ -59,7 +59,12 @@ def attach_by_level(
     )
     sizes = {r["var"]: Size(r["n"], r["b"]) for r in measured.collect()}
     none = Size(0, 0)
-    large = [c for c in cols if not sizes.get(c, none).fits(limit.rows, limit.bytes)]
+    small, rows, size = set(), 0, 0
+    for c in sorted(cols, key=lambda c: (sizes.get(c, none).bytes, sizes.get(c, none).rows)):
+        rows, size = rows + sizes.get(c, none).rows, size + sizes.get(c, none).bytes
+        if Size(rows, size).fits(limit.rows, limit.bytes):
+            small.add(c)
+    large = [c for c in cols if c not in small]
     together = large if row_id is not None and len(large) > 1 else []
     out = df
     for c in cols:
@@ -70,7 +75,8 @@ def attach_by_level(
             F.col(weight).alias("_weight"),
         )
         keyed = out.withColumn("_level", F.col(c).cast("string"))
-        found = lookup(keyed, mine, ["_level", *extra], "_weight", sizes.get(c, none), limit)
+        own = limit if c in small else Size(-1, -1)
+        found = lookup(keyed, mine, ["_level", *extra], "_weight", sizes.get(c, none), own)
         out = found.drop("_level")
     if together:
         long = level_cells(df, together, [row_id, *extra])
@@ -78,7 +84,7 @@ def attach_by_level(
             "var", "level", *extra, F.col(value).alias("_value"), F.col(weight).alias("_weight")
         )
         whole = Size(sum(sizes[c].rows for c in together), sum(sizes[c].bytes for c in together))
-        found = lookup(long, values, ["var", "level", *extra], "_weight", whole, limit)
+        found = lookup(long, values, ["var", "level", *extra], "_weight", whole, Size(-1, -1))
         wide = found.groupBy(row_id).agg(
             *[F.max(F.when(F.col("var") == c, F.col("_value"))).alias(name(c)) for c in together]
         )

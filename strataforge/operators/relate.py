@@ -50,12 +50,18 @@ def split_back(df: DataFrame, mark: str = "split") -> tuple[DataFrame, DataFrame
     )
 
 
+def _marked(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The lookup measures the keys and spreads hot and missing ones."""
+    return lookup(df, keys.select(*on).distinct().withColumn("_member", F.lit(True)), on)
+
+
 def members(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    return df.join(keys, on, "left_semi")
+    return _marked(df, keys, on).where(F.col("_member").isNotNull()).drop("_member")
 
 
 def non_members(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    return df.join(keys, on, "left_anti")
+    """Rows without a match; a NULL key has none."""
+    return _marked(df, keys, on).where(F.col("_member").isNull()).drop("_member")
 
 
 def distinct_union(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -164,7 +164,7 @@ def m10(spark, sf):
 def m10_train(spark, sf):
     rows = fx.base(spark, sf)
     return learn_and_score(
-        rows.where("split = 'train'"), rows.where("split = 'test'"), ["prio", "st", "state1", "lvl"], batches=4
+        rows.where("split = 'train'"), rows.where("split = 'test'"), ["prio", "st", "state1", "lvl"], batch_rows=2000
     )
 
 
@@ -261,7 +261,7 @@ def m15_boost(spark, sf):
 def m15_ftrl(spark, sf):
     rows = cut(hashed_rows(fx.base(spark, sf).where("split = 'train'"), ["prio", "lvl"], "id", "y"))
     boxes = {"alpha": (0.005, 0.1), "beta": (0.5, 2.0), "l1": (0.0, 0.5), "l2": (0.5, 2.0), "epoch": (1, 2)}
-    return tuning.maximize(spark, tuning.ftrl_objective(rows, batches=2), boxes, 2)
+    return tuning.maximize(spark, tuning.ftrl_objective(rows, batch_rows=5000), boxes, 2)
 
 
 @query(
@@ -279,8 +279,14 @@ def m16(spark, sf):
 @query("x1_progressive_validation")
 def x1(spark, sf):
     root = fresh_path(spark, "progress")
-    events = fx.table(spark, sf, "events")
-    events.repartitionByRange(4, "ts").write.parquet(f"{root}/in")
+    events = fx.table(spark, sf, "events").withColumn("seconds", F.col("ts").cast("double"))
+    # Slices by time, written one after the other: the stream takes files in the order of their writing.
+    bounds = [r[0] for r in events.select(F.explode(F.percentile("seconds", [0.25, 0.5, 0.75]))).collect()]
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        part = events.where(F.lit(True) if low is None else F.col("seconds") >= low)
+        part = part.where(F.lit(True) if high is None else F.col("seconds") < high)
+        part.drop("seconds").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    events = events.drop("seconds")
     learner = progressive.ProgressiveLearner(spark, root)
 
     def prepare(batch):

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import AtomicType
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -61,18 +62,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a partition of a spread table, and partitions at least.
+SPREAD_ROWS, SPREAD_PARTS = 1_000_000, 8
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``cut`` for tables that many later passes train on or multiply (rows x candidates).
 
-    A small table sits in fewer partitions than there are cores, which would
-    bound every later pass, so it is spread once.  A table that already has
-    enough partitions stays as it is.
+    Rows are placed and ordered by their values, in a number of partitions that only
+    depends on the number of rows.  Spark ML draws its samples per partition, so what
+    is fitted does not depend on the cluster or on where rows came from.
     """
-    written = cut(df)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if written.rdd.getNumPartitions() >= cores:
-        return written
-    return cut(written.repartition(cores))
+    keys = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    rows = df.count()
+    parts = max(SPREAD_PARTS, -(-rows // SPREAD_ROWS))
+    return cut(df.repartition(parts, *[F.col(f"`{k}`") for k in keys]).sortWithinPartitions(*[F.col(f"`{k}`") for k in keys]))
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from strataforge.session import fresh_path
 
@@ -18,6 +18,13 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     return df.sparkSession.read.parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own, wherever Spark can write; nothing if it isn't there."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strataforge.operators.ftrl import FtrlModel, FtrlParams, empty_model, update
+from strataforge.sources.store import remove_path
 
 PROGRESS_SCHEMA = "batch_id long, n_rows long, loss double, total_rows long, total_loss double"
 
@@ -49,6 +50,8 @@ class ProgressiveLearner:
         spark.createDataFrame([row], PROGRESS_SCHEMA).write.mode("overwrite").parquet(
             f"{self.root}/progress/{batch_id}"
         )
+        # A batch that is run again needs the version before it; older ones have served.
+        remove_path(spark, f"{self.root}/weights/{batch_id - 2}")
 
     def progress(self) -> DataFrame:
         """One row per batch with the mean loss over all rows so far."""

@@ -3,8 +3,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from strataforge.functions.lookup import Size, lookup
+from strataforge.functions.lookup import Size, hot_hashes, lookup
 from strataforge.operators import encode as E
+from strataforge.operators.relate import members, non_members
 
 NONE = Size(0, 0)  # nothing may be broadcast as small
 
@@ -40,6 +41,35 @@ def test_hot_rows_leave_the_shuffled_key(spark):
     assert "_salt" in text and "BroadcastHashJoin" in text
 
 
+def test_hot_key_that_the_table_lacks(spark):
+    """A level that most looked-up rows have and the table does not: its rows are salted, found or not."""
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, -1).otherwise(F.col("id")).cast("int").alias("k"))
+    table = spark.range(0, 3000, 3).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    assert len(hot_hashes(df, ["k"], 0.1)) == 1
+    got = lookup(df, table, ["k"], limit=NONE, hot_share=0.1)
+    assert {r["id"]: r["v"] for r in got.collect()} == {i: i if i % 3 == 0 else None for i in range(3000)}
+
+
+def test_members(spark, monkeypatch):
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else i % 3) for i in range(60)], "id int, k int")
+    keys = spark.createDataFrame([(1,), (1,), (7,), (None,)], "k int")
+    for fits in (True, False):
+        monkeypatch.setattr(Size, "fits", lambda self, *a: fits)
+        inside = {r["id"] for r in members(df, keys, ["k"]).collect()}
+        assert inside == {i for i in range(60) if i % 5 and i % 3 == 1}
+        assert {r["id"] for r in non_members(df, keys, ["k"]).collect()} == set(range(60)) - inside
+
+
+def test_one_broadcast_budget(spark):
+    """Columns share the limit: what does not fit together goes by the narrow join."""
+    df = spark.range(400).select("id", *[(F.col("id") % 100).cast("string").alias(f"c{i}") for i in range(6)])
+    cols = [f"c{i}" for i in range(6)]
+    out = E.attach_by_level(df, E.level_counts(df, cols), cols, "n", lambda c: "ct" + c, row_id="id", limit=Size(250, 1 << 20))
+    assert out.where(" and ".join(f"ct{c} = 4" for c in cols)).count() == 400
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert text.count("BroadcastHashJoin") - text.count("_served") <= 4
+
+
 def test_null_safe_keys_match(spark):
     df = spark.createDataFrame([(1, None, 5), (2, "a", 5), (3, "a", None)], "id int, g string, v int")
     table = spark.createDataFrame([(None, 5, 10, 1), ("a", 5, 20, 1)], "g string, v int, out int, w int")

@@ -261,7 +261,7 @@ def test_learning_lowers_the_loss(spark):
         "id", F.col("y").cast("double").alias("y"),
         F.array(F.when(F.col("a") > 0, 1).otherwise(2), F.when(F.col("b") > 0, 3).otherwise(4)).cast("array<long>").alias("indices"),
     )
-    model, history = ftrl.train(df, ftrl.FtrlParams(alpha=0.1), epochs=2, batches=4)
+    model, history = ftrl.train(df, ftrl.FtrlParams(alpha=0.1), epochs=2, batch_rows=-(-df.count() // 4))
     assert history[-1][2] < history[0][2] and history[-1][2] < 0.65
     scored = ftrl.score_rows(df, model, keep=["y"])
     assert scored.count() == 600 and auc(scored, "y", "p").first()["auc"] > 0.75
