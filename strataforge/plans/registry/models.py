@@ -15,6 +15,8 @@ from strataforge.operators.encode import standardize
 from strataforge.operators.hashed import hash_features
 from strataforge.operators.selection import ridge_cv
 from strataforge.operators.split import k_folds
+from strataforge.operators.stacking import ALPHAS
+from strataforge.operators.stumps import bagged_stumps
 from strataforge.plans import feature_build as V
 from strataforge.plans import fixtures as fx
 from strataforge.plans import tuning
@@ -41,7 +43,7 @@ def _rows(spark, sf):
 @query("m1_gbm")
 def m1(spark, sf):
     train, _, test = _rows(spark, sf)
-    return M.fit(M.gbm(10, 0.1, 5), train, FEATURES).score(test)
+    return M.fit(M.gbm(), train, FEATURES).score(test)
 
 
 @query("m2_early_stopped_boosting")
@@ -55,7 +57,7 @@ def m2(spark, sf):
 @query("m3_rf_probability")
 def m3(spark, sf):
     train, _, test = _rows(spark, sf)
-    return M.fit(M.forest(20, 12, 6), train, FEATURES).score(test)
+    return M.fit(M.forest(), train, FEATURES).score(test)
 
 
 @query("m4_rf_cv")
@@ -75,8 +77,8 @@ def m5(spark, sf):
 @query("m6_adaboost")
 def m6(spark, sf):
     train, _, test = _rows(spark, sf)
-    soft = M.adaboost(train, FEATURES, rounds=8, rate=0.5).score(test)
-    hard = M.adaboost(train, FEATURES, rounds=4, rate=0.5, algorithm="SAMME").score(test)
+    soft = M.adaboost(train, FEATURES).score(test)
+    hard = M.adaboost(train, FEATURES, rounds=125, rate=0.025, algorithm="SAMME").score(test)
     return soft.select(F.lit("SAMME.R").alias("kind"), "id", "score").union(
         hard.select(F.lit("SAMME").alias("kind"), "id", "score")
     )
@@ -85,8 +87,7 @@ def m6(spark, sf):
 @query("m7_bagging")
 def m7(spark, sf):
     train, _, test = _rows(spark, sf)
-    one = lambda rows, cols: M.adaboost(rows, cols, rounds=3, rate=0.5)
-    return M.bagged(train, FEATURES, one, bags=3).score(test)
+    return bagged_stumps(train, FEATURES).score(test)
 
 
 @query("m8_elastic_net_path")
@@ -96,7 +97,7 @@ def m8(spark, sf):
     one = wide.withColumn("g", F.lit(1))
     moments = grouped_moments(one, [*models, "y"], "g")[1]
     out = None
-    for alpha in (0.0, 0.5, 1.0):
+    for alpha in ALPHAS:
         lam = path_end(moments, len(models) + 1, alpha)
         ready = M.assemble(wide.withColumn("y", F.col("y").cast("double")), models, "_features")
         fitted = M.elastic_net(alpha, lam).fit(ready)

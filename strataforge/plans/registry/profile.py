@@ -236,13 +236,13 @@ def c14_best(spark, sf):
 @query("c15_greedy_forward_select")
 def c15(spark, sf):
     df = _signal(spark, sf).withColumn("p", F.floor(F.col("a") / 10)).withColumn("c", F.col("zip") % 20)
-    return S.greedy_forward(df, ["p", "c", "n2", "n4", "zip"], "y", "fold10", size=3)
+    return S.greedy_forward(df, ["p", "c", "n2", "n4", "zip"], "y", "fold10")
 
 
 @query("c16_importance_rf")
 def c16(spark, sf):
     df = _signal(spark, sf)
-    return S.importances(df, ["a", "n2", "n4", "zip"], lambda rep: M.forest(20, rep, 6), times=3)
+    return S.importances(df, ["a", "n2", "n4", "zip"], lambda rep: M.forest(20, rep, 6))
 
 
 @query("c17_importance_gbm")

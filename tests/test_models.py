@@ -1,16 +1,22 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from strataforge.functions.metrics import auc
+from strataforge.functions.moments import grouped_moments
 from strataforge.operators import blend as B
 from strataforge.operators import ftrl
 from strataforge.operators import models as M
 from strataforge.operators import selection as S
 from strataforge.operators import stacking as K
+from strataforge.operators import stumps
+from strataforge.operators.split import with_samples
+from strataforge.operators.stumps import bagged_stumps
 from strataforge.streaming import progressive
 
 
@@ -95,12 +101,89 @@ def test_best_stage_stops_after_flat_rounds():
 
 
 def test_boosting_weights_follow_the_definition(spark):
-    """Two rounds of SAMME on one column, against the textbook update."""
+    """SAMME on one column against the textbook update: pick the purest split, weigh by its error."""
     pdf = pd.DataFrame({"id": range(8), "x": [1.0, 2, 3, 4, 5, 6, 7, 8], "y": [0, 0, 1, 0, 1, 1, 0, 1]})
-    model = M.adaboost(spark.createDataFrame(pdf), ["x"], rounds=2, rate=1.0, algorithm="SAMME")
-    first = model.stages[0].score(spark.createDataFrame(pdf)).orderBy("id").toPandas()["score"] > 0.5
-    err = (first.to_numpy() != pdf["y"].to_numpy()).mean()
-    assert model.votes[0] == pytest.approx(np.log((1 - err) / err))
+    model = M.adaboost(spark.createDataFrame(pdf), ["x"], rounds=3, rate=1.0, algorithm="SAMME")
+    w, total = np.ones(8), np.zeros(8)
+    for _, _, vote in model.history:
+        best = None
+        for cut_at in pdf["x"][:-1]:
+            left = (pdf["x"] <= cut_at).to_numpy()
+            sides = [(w[s].sum(), (w * pdf["y"])[s].sum()) for s in (left, ~left)]
+            gini = round(sum(2 * p * (n - p) / n for n, p in sides) / w.sum(), 9)
+            if best is None or gini < best[0]:
+                best = (gini, np.where(left, *[1.0 if p / n > 0.5 else -1.0 for n, p in sides]))
+        said = best[1]
+        wrong = said != 2 * pdf["y"] - 1
+        alpha = np.log((1 - (w * wrong).sum() / w.sum()) / ((w * wrong).sum() / w.sum()))
+        assert vote == pytest.approx(alpha)
+        w, total = w * np.exp(alpha * wrong), total + alpha * said
+    votes = sum(v for _, _, v in model.history)
+    want = 1 / (1 + np.exp(-2 * total / votes))
+    got = model.score(spark.createDataFrame(pdf)).orderBy("id").toPandas()["score"]
+    assert np.allclose(got, want)
+
+
+def test_boosted_plan_does_not_grow(spark):
+    pdf = _table(400)
+    df = spark.createDataFrame(pdf)
+    sizes = [
+        len(M.adaboost(df, FEATURES, rounds=n, rate=0.3).score_column(df)._jdf.queryExecution().optimizedPlan().toString())
+        for n in (5, 60)
+    ]
+    assert sizes[1] < 3 * sizes[0]
+
+
+def test_missing_values_have_a_bin(spark):
+    rows = [(i, None if i % 3 == 0 else float(i % 7), int(i % 3 == 0)) for i in range(90)]
+    df = spark.createDataFrame(rows, "id int, x double, y int")
+    got = M.adaboost(df, ["x"], rounds=3).score(df).toPandas()
+    assert (got["score"][got["id"] % 3 == 0] > 0.5).all() and (got["score"][got["id"] % 3 > 0] < 0.5).all()
+
+
+def test_bags_in_lockstep_equal_single_models(spark):
+    """One job for all bags gives each bag what it would get alone."""
+    df = spark.createDataFrame(_table(500))
+    bag = bagged_stumps(df, FEATURES, bags=3, col_share=0.7, rounds=6, rate=0.4, seed=5)
+    marked = with_samples(df.select("id", "y", *FEATURES), "id", 3, 0.9, None, "bag5_")
+    for b, member in enumerate(bag.members, 1):
+        names = [FEATURES[f] for f, _, _ in member.history]
+        counts = [F.coalesce(F.array_contains("samples", b).cast("int"), F.lit(0))]
+        rng = random.Random(5)
+        subsets = [sorted(rng.sample(range(len(FEATURES)), max(1, round(len(FEATURES) * 0.7)))) for _ in range(3)]
+        alone = stumps._lockstep(marked, FEATURES, "y", counts, [subsets[b - 1]], 6, 0.4, "SAMME.R", stumps.BINS)[0]
+        assert alone.history == member.history and names
+        assert all(np.allclose(x, y) for x, y in zip(alone.scores, member.scores))
+
+
+def test_stacking_uses_complete_rows(spark):
+    """A row that lacks a model's score is left out, and changes nothing for the others."""
+    valid, full = _scores(), _scores()
+    with_gap = _long(spark, valid).where(F.concat_ws("|", "id", "model") != f"3|{MODELS[0]}")
+    without = _long(spark, valid).where("id <> 3")
+    tests = _long(spark, full).drop("y")
+    got, want = (sorted(map(tuple, K.stack_final(v, tests, MODELS).collect())) for v in (with_gap, without))
+    assert got == want and len({t for _, t in got}) > 10
+    with pytest.raises(ValueError, match="missing"):
+        grouped_moments(spark.createDataFrame([(1, None, 1.0), (1, 2.0, 0.0)], "g int, x double, y double"), ["x", "y"], "g")
+
+
+def test_ridge_on_offset_columns_and_a_fold_called_f(spark):
+    pdf = _table(400)
+    pdf["f"] = pdf["id"] % 4 + 1
+    pdf["when"] = 1.7e12 + 1e3 * pdf["a"]
+    got = S.ridge_cv(spark.createDataFrame(pdf), ["a", "when"], "y", "f").toPandas()
+    a, when = (got[got["var"] == v].sort_values("f")["auc"].to_numpy() for v in ("a", "when"))
+    assert len(a) == 4 and np.allclose(a, when, atol=1e-3)
+
+
+def test_boosting_limits_are_errors():
+    config = M.BOOST_CONFIGS["run13"]
+    with pytest.raises(ValueError, match="depth"):
+        M.boosted_trees(config, 1000)
+    with pytest.raises(ValueError, match="rows"):
+        M.boosted_trees(M.BOOST_CONFIGS["base"])
+    assert M.boosted_trees(M.BOOST_CONFIGS["base"], 1000).getMinInfoGain() == pytest.approx(0.1 / 1000)
 
 
 def test_search_points_and_best_trial(spark):
