@@ -6,9 +6,10 @@ the same place, and sizes are exact.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strataforge.functions.hashing import HASH_SPACE, md5_bucket
+from strataforge.functions.lookup import lookup
 from strataforge.functions.ordering import hashed_positions, positions
 from strataforge.session import cut
 
@@ -26,6 +27,35 @@ def shuffled(
     )
 
 
+CELLS = 1 << 16  # cells of the hash space that are counted to find a limit
+
+
+def _first(df: DataFrame, row_id: str, hashed: Column, keys: list[str], wanted, out: str) -> DataFrame:
+    """Flag the first ``wanted(rows of the group)`` rows of each group in the order of a hash, then of the id.
+
+    Rows are neither moved nor sorted.  Counts per cell of the hash space tell in which
+    cell a group's limit lies; only the rows of that cell are ordered, and their
+    ``wanted``-th is the limit that every row is compared with.  The limits have one
+    row per group.
+    """
+    group = keys or ["_all"]
+    rows = df if keys else df.withColumn("_all", F.lit(0))
+    narrow = rows.select(*group, hashed.alias("_h"), F.col(row_id).alias("_id"))
+    top = F.floor(F.col("_h") * CELLS / HASH_SPACE)
+    cells = cut(narrow.groupBy(*group, top.alias("_top")).agg(F.count("*").alias("_n")))
+    upto = Window.partitionBy(*group).orderBy("_top")
+    counted = cells.withColumn("_upto", F.sum("_n").over(upto)).withColumn("_total", F.sum("_n").over(Window.partitionBy(*group)))
+    goal = F.least(wanted(F.col("_total")).cast("long"), F.col("_total"))
+    before = F.col("_upto") - F.col("_n")
+    at = counted.where((before < goal) & (goal <= F.col("_upto"))).select(*group, F.col("_top").alias("_cut"), (goal - before).alias("_left"))
+    near = lookup(narrow, at, group, null_safe=group).where(top == F.col("_cut"))
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("_h", "_id"))
+    limits = near.withColumn("_place", place).where("_place = _left").select(*group, F.struct("_h", "_id").alias("_limit"))
+    marked = lookup(rows, limits, group, null_safe=group)
+    inside = F.struct(hashed.alias("_h"), F.col(row_id).alias("_id")) <= F.col("_limit")
+    return marked.select(*_others(df, out), F.coalesce(inside, F.lit(False)).cast("int").alias(out))
+
+
 def k_folds(
     df: DataFrame, row_id: str, k: int, tag: str = "fold", strata: list[str] | None = None,
     out: str = "fold",
@@ -37,8 +67,7 @@ def k_folds(
 
 def holdout(df: DataFrame, row_id: str, n: int, tag: str = "valid", out: str = "valid") -> DataFrame:
     """Flag exactly ``n`` rows (all of them when there are fewer)."""
-    placed = shuffled(df, row_id, tag, None, "_p")
-    return placed.select(*_others(df, out), (F.col("_p") <= n).cast("int").alias(out))
+    return _first(df, row_id, md5_bucket(tag, F.col(row_id)), [], lambda total: F.lit(n), out)
 
 
 def fold_table(
@@ -65,9 +94,10 @@ def repeated_samples(
     """
     reps = df.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(times))))
     hashed = md5_bucket(tag, F.col("rep"), F.lit("_"), F.col(row_id))
-    placed = hashed_positions(reps, hashed, HASH_SPACE, [row_id], ["rep", *(strata or [])], "_p")
-    inside = F.col("_p") <= F.ceil(F.round(F.col("group_rows") * F.lit(share), 6))
-    return placed.select(*_others(df, "rep", "inside"), "rep", inside.cast("int").alias("inside"))
+    marked = _first(
+        reps, row_id, hashed, ["rep", *(strata or [])], lambda total: F.ceil(F.round(total * F.lit(share), 6)), "inside"
+    )
+    return marked.select(*_others(df, "rep", "inside"), "rep", "inside")
 
 
 def with_samples(
@@ -122,10 +152,11 @@ def head_split(
     df: DataFrame, row_id: str, rows: int = 133_000, tag: str = "shuf", out: str = "part"
 ) -> DataFrame:
     """Shuffle, then train = the first ``rows``, valid = the next ``rows``, rest = what is left."""
-    placed = shuffled(df, row_id, tag, None, "_p")
-    p = F.col("_p")
-    part = F.when(p <= rows, "train").when(p <= 2 * rows, "valid").otherwise("rest")
-    return placed.select(*_others(df, out), part.alias(out))
+    hashed = md5_bucket(tag, F.col(row_id))
+    one = _first(df, row_id, hashed, [], lambda total: F.lit(rows), "_one")
+    two = _first(one, row_id, hashed, [], lambda total: F.lit(2 * rows), "_two")
+    part = F.when(F.col("_one") == 1, "train").when(F.col("_two") == 1, "valid").otherwise("rest")
+    return two.select(*_others(df, out), part.alias(out))
 
 
 def column_bags(df: DataFrame, cols: list[str], times: int, share: float, tag: str = "bag") -> DataFrame:

@@ -20,7 +20,6 @@ from strataforge.operators.stumps import bagged_stumps
 from strataforge.plans import feature_build as V
 from strataforge.plans import fixtures as fx
 from strataforge.plans import tuning
-from strataforge.plans.column_families import Families
 from strataforge.plans.fixture_sql import DATES, auc_sql, with_base, with_scores
 from strataforge.plans.hashed_learning import hashed_rows, learn_and_score
 from strataforge.plans.registry import query
@@ -280,7 +279,7 @@ def m16(spark, sf):
 @query("x1_progressive_validation")
 def x1(spark, sf):
     root = fresh_path(spark, "progress")
-    events = fx.table(spark, sf, "events").withColumn("seconds", F.col("ts").cast("double"))
+    events = fx.table(spark, sf, "events").withColumn("seconds", F.col("ts").cast("timestamp").cast("double"))
     # Slices by time, written one after the other: the stream takes files in the order of their writing.
     bounds = [r[0] for r in events.select(F.explode(F.percentile("seconds", [0.25, 0.5, 0.75]))).collect()]
     for low, high in zip([None, *bounds], [*bounds, None]):
@@ -433,14 +432,15 @@ def v8(spark, sf):
     return out.withColumn("VAR0212", F.round("VAR0212", 9))
 
 
-# Few raw factors here, so that the pairs of factors stay few; the rows are all there.
-FEW = {"VAR0005": "f1", "VAR0274": "f2", "VAR0467": "f3", "zipcode": "f4"}
-PAIRS = {f"bi{a}{b}": f"concat({x}, '_', {y})" for (a, x), (b, y) in combinations(FEW.items(), 2)}
+# All factors of the table, in the order of its columns, and the two zips.
+FACTORS = {"VAR0008": "f1", "VAR0005": "f2", "VAR0467": "f3", "VAR0237": "f4", "VAR0274": "f5", "VAR0200": "f6", "zipcode": "f7", "zipcode2": "f8"}
+PAIRS = {f"bi{a}{b}": f"concat({x}, '_', {y})" for (a, x), (b, y) in combinations(FACTORS.items(), 2)}
 INTERACTION_SQL = _version_sql(
-    """fac as (select id, y, split, fold10, prio as f1, case when state2 = '' then 'mis' else state2 end as f2,
-         st as f3, cast(zip % 50 as varchar) as f4 from base)""",
-    {f"ct{n}": f"count(*) over (partition by {e})" for n, e in {**FEW, **PAIRS}.items()},
-    {"zipcodedmp": "f4", **{f"{n}dmp": e for n, e in PAIRS.items()}},
+    """fac as (select id, y, split, fold10, case when zip % 2 = 0 then 'true' when zip % 5 = 0 then 'mis' else 'false' end as f1,
+         prio as f2, st as f3, state1 as f4, case when state2 = '' then 'mis' else state2 end as f5, city as f6,
+         case when id % 11 <> 0 then cast(zip as varchar) else 'mis' end as f7, cast(zip % 50 as varchar) as f8 from base)""",
+    {f"ct{n}": f"count(*) over (partition by {e})" for n, e in {**FACTORS, **PAIRS}.items()},
+    {"zipcodedmp": "f7", "zipcode2dmp": "f8", **{f"{n}dmp": e for n, e in PAIRS.items()}},
     {},
 )
 
@@ -448,10 +448,7 @@ INTERACTION_SQL = _version_sql(
 @query("v8a_interaction_version", INTERACTION_SQL)
 def v8a(spark, sf):
     train, test, folds = fx.contest(spark, sf)
-    fam = Families(zips=("VAR_0241",))
-    raw = ["VAR_0005", "VAR_0274", "VAR_0467", "VAR_0241"]
-    out = V.interaction_version(train.select("ID", "target", *raw), test.select("ID", *raw), folds, fam)
-    return _shown(out)
+    return _shown(V.interaction_version(train, test, folds))
 
 
 YEARLY = {

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import random
 
 import numpy as np
@@ -17,6 +18,7 @@ from strataforge.operators import stacking as K
 from strataforge.operators import stumps
 from strataforge.operators.split import with_samples
 from strataforge.operators.stumps import bagged_stumps
+from strataforge.plans import named_runs, tuning
 from strataforge.streaming import progressive
 
 
@@ -384,3 +386,41 @@ def test_rare_slots(spark):
     df = spark.createDataFrame([(1, [1, 2]), (2, [1]), (3, [3]), (4, [])], "id long, indices array<long>")
     got = {r["id"]: r["indices"] for r in M.drop_rare_slots(df, "indices", 2).collect()}
     assert got == {1: [1], 2: [1], 3: [], 4: []}
+
+
+def test_named_runs_and_selected_versions(spark, data, tmp_path):
+    train, test = data
+    small = dataclasses.replace(M.BOOST_CONFIGS["base"], rounds=4, depth=3, eta=0.3, colsample=1.0, patience=2)
+    model = named_runs.boosted_run(small, FEATURES)(train, test)
+    assert 1 <= model.stage <= 4 and model.score(test).count() == test.count()
+    assert set(named_runs.named_runs(["base", "run3"], {"v9_r5": FEATURES})) == {"base", "run3"}
+    picks = spark.createDataFrame([("r1", "a"), ("r1", "b"), ("r2", "c"), ("r2", "gone")], "version string, var string")
+    paths = named_runs.write_selected({"train": train, "test": test.drop("y")}, picks, str(tmp_path), ["id", "y"])
+    assert len(paths) == 4
+    assert spark.read.parquet(f"{tmp_path}/v10_r1/train").columns == ["id", "y", "a", "b"]
+    assert spark.read.parquet(f"{tmp_path}/v10_r2/test").columns == ["id", "c"]
+
+
+def test_best_point_is_fitted_for_every_seed(spark, data):
+    train, test = data
+    trials = M.search(spark, lambda trees: -abs(trees - 3), [{"trees": 2}, {"trees": 3}])
+    made = []
+
+    def make(seed, trees):
+        made.append((seed, trees))
+        return M.forest(trees, seed, 3)
+
+    got = tuning.refit_best(trials, make, train, test, FEATURES, seeds=(1, 2))
+    assert made == [(1, 3), (2, 3)] and got.count() == 2 * test.count()
+
+
+def test_boosted_extra_trees_objective(spark, data):
+    value = tuning.boosted_extra_objective(data[0], FEATURES, rounds=2, depth=3)(n_estimators=3, min_samples_split=2)
+    assert value > 0.7
+
+
+def test_ties_do_not_depend_on_the_size_of_scores(spark):
+    for scale in (1e-12, 1.0, 1e6):
+        rows = [(0, 0.1 * scale), (1, 0.2 * scale), (0, 0.3 * scale), (1, (0.1 + 0.2) * scale)]
+        df = spark.createDataFrame(rows, "y int, m double")
+        assert B.weighted_auc(df, "y", ["m"], [1.0]).first()["auc"] == pytest.approx(0.625)
