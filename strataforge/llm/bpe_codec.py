@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from strataforge.llm.bpe import Vocabulary, WordCache
 from strataforge.llm.naming import others
 from strataforge.llm.pretokens import WORD_PATTERN, Splitter
+from strataforge.llm.workers import trimmed
 
 #: Characters of text that are worked on at a time.
 SLICE_CHARS = 1 << 20
@@ -96,7 +97,7 @@ def round_trip(
                 columns = [*batch.slice(at, len(part)).columns, listed, decode_ids(tokens, listed).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*kept, ids, decoded])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(trimmed(run), schema)
 
 
 def ids_digest(ids: str) -> Column:

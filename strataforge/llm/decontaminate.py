@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from strataforge.functions.matrices import tree_merge
 from strataforge.llm.bytewords import ALNUM, text_bytes, word_hashes
 from strataforge.llm.naming import unused
+from strataforge.llm.workers import trimmed
 from strataforge.session import cut
 
 #: Slots of the table of word weights (1 MB).
@@ -74,7 +75,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
     def merge(parts: list[bytes]) -> bytes:
         return sum(np.frombuffer(p, dtype=np.int64) for p in parts).tobytes()
 
-    sums = tree_merge(docs.select("text").mapInArrow(run, "part int, g int, m binary"), merge)
+    sums = tree_merge(docs.select("text").mapInArrow(trimmed(run), "part int, g int, m binary"), merge)
     counts = np.frombuffer(sums[0], dtype=np.int64) if sums else np.zeros(1 << SLOT_BITS, np.int64)
     return (np.log((counts.sum() + 2.0) / (counts + 1.0)) ** POWER).astype(np.float32)
 
@@ -97,7 +98,7 @@ def passages(benchmark: DataFrame, id: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["item", "part", "words"])
 
     slim = benchmark.select(F.col(f"`{id}`").cast("long").alias("item"), F.col(f"`{text}`").cast("string").alias("text"))
-    return slim.where("item is not null").distinct().mapInArrow(run, "item long, part int, words binary")
+    return slim.where("item is not null").distinct().mapInArrow(trimmed(run), "item long, part int, words binary")
 
 
 def _row(words: np.ndarray, vocabulary: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +136,7 @@ def randomised_svd(rows: DataFrame, vocabulary: np.ndarray, weight: np.ndarray,
                 names=["part", "g", "m"],
             )
 
-        sums = tree_merge(rows.select("words").mapInArrow(run, "part int, g int, m binary"), merge)
+        sums = tree_merge(rows.select("words").mapInArrow(trimmed(run), "part int, g int, m binary"), merge)
         basis = np.frombuffer(sums[0]).reshape(basis.shape)
         shared.unpersist()
     return np.linalg.qr(basis)[0]
@@ -238,7 +239,7 @@ def _search(docs: DataFrame, shared) -> DataFrame:
                     columns = [pa.array(list(c), t) for c, t in zip(zip(*rows), types)]
                     yield pa.RecordBatch.from_arrays(columns, names=["id", "item", "lcs", "answer", "cosine"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, item long, lcs double, answer double, cosine double")
+    return docs.select("id", "text").mapInArrow(trimmed(run), "id long, item long, lcs double, answer double, cosine double")
 
 
 def leaks(

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from strataforge.functions.matrices import tree_merge
 from strataforge.functions.ordering import positions
 from strataforge.llm.components import connected
+from strataforge.llm.workers import trimmed
 from strataforge.session import cut
 from strataforge.sources.store import materialize
 
@@ -57,7 +58,7 @@ def rotation(vectors: DataFrame, d: int) -> np.ndarray:
     def merge(parts: list[bytes]) -> bytes:
         return sum(np.frombuffer(p) for p in parts).tobytes()
 
-    sums = tree_merge(vectors.select("vec").mapInArrow(run, "part int, g int, m binary"), merge)
+    sums = tree_merge(vectors.select("vec").mapInArrow(trimmed(run), "part int, g int, m binary"), merge)
     values, directions = np.linalg.eigh(np.frombuffer(sums[0]).reshape(d, d))
     return directions[:, np.argsort(-values)]
 
@@ -147,7 +148,7 @@ def tiles(classes: DataFrame, d: int, steps: list[int]) -> DataFrame:
             along = _unit(_matrix(batch.column(2), d)) @ axis
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(along)], names=["rep", "copies", "vec", "along"])
 
-    placed = classes.select("rep", "copies", "vec").mapInArrow(first, "rep long, copies long, vec array<double>, along double")
+    placed = classes.select("rep", "copies", "vec").mapInArrow(trimmed(first), "rep long, copies long, vec array<double>, along double")
     numbered = positions(placed, ["along", "rep"]).withColumn("tile", F.floor((F.col("position") - 1) / TILE))
 
     def pack(group: pa.Table) -> pa.Table:

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from strataforge.functions.lookup import lookup, measure
 from strataforge.llm.bytewords import NOT_SPACE, mix, shingle_hashes, text_bytes, word_hashes
 from strataforge.llm.components import connected
+from strataforge.llm.workers import trimmed
 from strataforge.session import cut
 from strataforge.sources.store import materialize
 
@@ -82,7 +83,7 @@ def crowded_cells(docs: DataFrame, k: int) -> np.ndarray:
         found = np.flatnonzero(cells >= bar)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(cells[found], pa.int64())], names=["cell", "n"])
 
-    found = docs.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    found = docs.select("text").mapInArrow(trimmed(run), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     rows = found.where("n >= 4").orderBy(F.desc("n"), "cell").limit(CROWDED).toArrow()
     levels = np.zeros(1 << CELL_BITS, dtype=np.uint8)
     levels[rows["cell"].to_numpy()] = np.log2(rows["n"].to_numpy()).astype(np.uint8) + 1
@@ -118,7 +119,7 @@ def prints(docs: DataFrame, k: int, percent: int, levels) -> DataFrame:
                     names=["id", "n", "f1", "f2", "prefix"],
                 )
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, f1 long, f2 long, prefix array<long>")
+    return docs.select("id", "text").mapInArrow(trimmed(run), "id long, n long, f1 long, f2 long, prefix array<long>")
 
 
 def _shared(tokens: DataFrame) -> DataFrame:
@@ -155,7 +156,7 @@ def _shared(tokens: DataFrame) -> DataFrame:
             yield waiting
 
     dealt = tokens.repartitionByRange("token", "rep").sortWithinPartitions("token", "rep")
-    return dealt.mapInArrow(run, tokens.schema)
+    return dealt.mapInArrow(trimmed(run), tokens.schema)
 
 
 def _buckets(reps: DataFrame, percent: int) -> DataFrame:
@@ -443,7 +444,7 @@ def ngram_components(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
     members = _buckets(classes.select("rep", "n", "prefix"), percent)
     # Half of each hash is enough to tell who can't be linked; more matches than there are only let more sets through.
     halves = classes.select("rep", "n", "prefix").join(members.select("rep").distinct(), "rep", "left_semi")
-    halves = halves.mapInArrow(_halved, "rep long, n long, prefix binary")
+    halves = halves.mapInArrow(trimmed(_halved), "rep long, n long, prefix binary")
     met = _block_pairs(members).join(halves, "rep").groupBy("token", "i", "j")
     schema = "token long, rep long, n long, i int, j int, side int, root long"
     left = _groups(cut(met.applyInArrow(_group_survivors(percent, levels), schema)))
@@ -459,7 +460,7 @@ def ngram_components(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
                     [part.column(0), pa.array(map(len, sets), pa.int64()), pa.array(sets, pa.binary())], names=["rep", "bytes", "set"]
                 )
 
-    sets = slim.join(side, "id", "left_semi").select("id", "text").mapInArrow(run, "rep long, bytes long, set binary")
+    sets = slim.join(side, "id", "left_semi").select("id", "text").mapInArrow(trimmed(run), "rep long, bytes long, set binary")
     grouped = left.join(sets, "rep").groupBy("token", "i", "j")
     links = grouped.applyInArrow(_group_links(percent), "a long, b long")
     component = connected(links).withColumnRenamed("id", "rep")

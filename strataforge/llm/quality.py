@@ -17,6 +17,7 @@ from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from strataforge.llm.naming import others
 from strataforge.llm.text_signals import ABSTAIN, LABELLERS, measures, votes
+from strataforge.llm.workers import trimmed
 
 #: Documents the scorer is fitted on, by the order of a hash of the id.
 FIT_ROWS = 4096
@@ -45,7 +46,7 @@ def pattern_counts(docs: DataFrame) -> list[tuple[int, int]]:
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], names=["pattern", "n"])
 
-    found = docs.select("text").mapInArrow(run, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+    found = docs.select("text").mapInArrow(trimmed(run), "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
     return [(r["pattern"], r["n"]) for r in found.collect()]
 
 
@@ -123,7 +124,7 @@ def fit_rows(docs: DataFrame, rows: int) -> list:
                 )
 
     few = docs.join(F.broadcast(chosen), "id", "left_semi").select("text")
-    return few.mapInArrow(run, "pattern long, columns binary, values binary").limit(2 * rows).collect()
+    return few.mapInArrow(trimmed(run), "pattern long, columns binary, values binary").limit(2 * rows).collect()
 
 
 def train(packed: list, posterior: dict[int, float], rounds: int = 150, decay: float = 1e-3) -> np.ndarray:
@@ -181,4 +182,4 @@ def quality_scores(docs: DataFrame, id: str = "doc_id", text: str = "text", rows
                 arrays = [*part.columns, pa.array(label), pa.array(score), pa.array(score < limit)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *added])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(trimmed(run), schema)

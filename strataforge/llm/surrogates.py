@@ -19,6 +19,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from strataforge.functions.lookup import measure
 from strataforge.llm.entities import Surrogates, detect, written_like
 from strataforge.llm.naming import others, unused
+from strataforge.llm.workers import trimmed
 from strataforge.session import cut
 
 #: An entity that has failed so often is an error; names get longer with the attempts.
@@ -35,7 +36,7 @@ def found_entities(docs: DataFrame, text: str = "text") -> DataFrame:
                 [pa.array([k for k, _ in seen], pa.string()), pa.array([v for _, v in seen], pa.string())], names=["kind", "value"]
             )
 
-    return docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, "kind string, value string").distinct()
+    return docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(trimmed(run), "kind string, value string").distinct()
 
 
 def _propose(entities: DataFrame, key: bytes, attempt: int) -> DataFrame:
@@ -46,7 +47,7 @@ def _propose(entities: DataFrame, key: bytes, attempt: int) -> DataFrame:
             made = [maker.replacement(k, v, attempt) for k, v in zip(kinds, values)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], names=["kind", "value", "made"])
 
-    return entities.select("kind", "value").mapInArrow(run, "kind string, value string, made string")
+    return entities.select("kind", "value").mapInArrow(trimmed(run), "kind string, value string, made string")
 
 
 def exceptions(entities: DataFrame, key: bytes) -> DataFrame:
@@ -99,7 +100,7 @@ def replace_entities(docs: DataFrame, key: bytes, id: str = "doc_id", text: str
     )
     if measure(late).fits():
         table = {(r["kind"], r["value"]): r["made"] for r in late.collect()}
-        return source.mapInArrow(_rewrite(docs.sparkSession.sparkContext.broadcast(table), key, kept, text, None), schema)
+        return source.mapInArrow(trimmed(_rewrite(docs.sparkSession.sparkContext.broadcast(table), key, kept, text, None)), schema)
 
     # Too many to broadcast: each text gets the exceptions among its own entities.
     row = F.xxhash64(F.col(f"`{text}`"))
@@ -116,12 +117,12 @@ def replace_entities(docs: DataFrame, key: bytes, id: str = "doc_id", text: str
             if columns:
                 yield pa.RecordBatch.from_arrays(columns, names=["_row", "kind", "value"])
 
-    mine = slim.mapInArrow(own, "_row long, kind string, value string").join(late, ["kind", "value"])
+    mine = slim.mapInArrow(trimmed(own), "_row long, kind string, value string").join(late, ["kind", "value"])
     packed = mine.groupBy("_row").agg(F.collect_set(F.struct("kind", "value", "made")).alias("_late"))
     key_name, late_name = unused(kept, "_row"), unused(kept, "_late")
     packed = packed.select(F.col("_row").alias(key_name), F.col("_late").alias(late_name))
     joined = source.withColumn(key_name, row).join(packed, key_name, "left").select(*[F.col(f"`{c}`") for c in kept], late_name)
-    return joined.mapInArrow(_rewrite(None, key, kept, text, len(kept)), schema)
+    return joined.mapInArrow(trimmed(_rewrite(None, key, kept, text, len(kept))), schema)
 
 
 def _rewrite(shared, key: bytes, kept: list[str], text: str, own: int | None):

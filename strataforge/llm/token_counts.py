@@ -14,6 +14,7 @@ from strataforge.llm.bpe import Vocabulary
 from strataforge.llm.bpe_codec import read_text, slices
 from strataforge.llm.naming import others
 from strataforge.llm.pretokens import SPACED_PATTERN, Splitter
+from strataforge.llm.workers import trimmed
 
 #: Rows of the broadcast table, rows a task may report, distinct words a task counts at a time.
 TABLE_ROWS, TASK_ROWS, TASK_WORDS = 65_536, 8_192, 262_144
@@ -42,7 +43,7 @@ def frequent_pretokens(docs: DataFrame, text: str, specials: list[str], content:
         if best:
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in best]), pa.array([n for _, n in best])], names=["word", "n"])
 
-    found = docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, "word string, n long")
+    found = docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(trimmed(run), "word string, n long")
     top = found.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(rows)
     return [(r["word"], r["n"]) for r in top.collect()]
 
@@ -96,4 +97,4 @@ def token_counts(
                 counts += [sum(map(known.__getitem__, ws)) for ws in split]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64())], names=[*kept, out])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(trimmed(run), schema)
