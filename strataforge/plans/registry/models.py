@@ -20,7 +20,7 @@ from strataforge.operators.stumps import bagged_stumps
 from strataforge.plans import feature_build as V
 from strataforge.plans import fixtures as fx
 from strataforge.plans import tuning
-from strataforge.plans.fixture_sql import DATES, auc_sql, with_base, with_scores
+from strataforge.plans.fixture_sql import DATES, auc_sql, bucket, with_base, with_scores
 from strataforge.plans.hashed_learning import hashed_rows, learn_and_score
 from strataforge.plans.registry import query
 from strataforge.plans.registry.encode import HASHED_SQL, SLOTS, days_sql, rate_ctes
@@ -276,27 +276,62 @@ def m16(spark, sf):
 # ---- streaming ------------------------------------------------------------------------------
 
 
-@query("x1_progressive_validation")
+SLICES = 4
+
+
+def _progress_sql() -> str:
+    """The stream unrolled: per slice of time the score before the update, and the state after it."""
+    bounds = ", ".join(f"quantile_cont(epoch(ts), {k / SLICES})" for k in range(1, SLICES))
+    named = {"user_id": "user_id", "hour": "extract(hour from ts)", "size": "cast(floor(value / 20) as bigint)"}
+    slots = " union all ".join(f"select event_id, 1 + {bucket(c + '_', e)} % {SLOTS - 1} as slot from events" for c, e in named.items())
+    slice_of = " + ".join(f"cast(epoch(ts) >= b[{k}] as int)" for k in range(1, SLICES))
+    ctes = [
+        f"bounds as materialized (select [{bounds}] as b from events)",
+        f"rows as materialized (select event_id, cast(event_type = 'purchase' as double) as y, {slice_of} as k from events, bounds)",
+        f"slots as materialized ({slots} union all select event_id, 0 from events)",
+        "state0 as (select cast(null as bigint) as slot, 0::double as z, 0::double as n where false)",
+    ]
+    for k in range(SLICES):
+        ctes += [
+            f"w{k} as materialized (select *, {_weight_sql('z', 'n')} as w from state{k})",
+            f"""p{k} as materialized (select event_id, any_value(y) as y, 1 / (1 + exp(-greatest(least(sum(coalesce(w, 0)), 35), -35))) as p
+                from slots join rows using (event_id) left join w{k} using (slot) where k = {k} group by event_id)""",
+            f"g{k} as (select slot, sum(p - y) as g, sum((p - y) * (p - y)) as g2 from slots join p{k} using (event_id) group by slot)",
+            f"""state{k + 1} as materialized (select slot, coalesce(z, 0) + coalesce(g, 0)
+                - (sqrt(coalesce(n, 0) + coalesce(g2, 0)) - sqrt(coalesce(n, 0))) / 0.005::double * coalesce(w, 0) as z,
+                coalesce(n, 0) + coalesce(g2, 0) as n from w{k} full join g{k} using (slot))""",
+        ]
+    losses = " union all ".join(
+        f"select {k} as batch_id, count(*) as n_rows, sum(-case when y = 1 then ln(p) else ln(1 - p) end) as loss from p{k}" for k in range(SLICES)
+    )
+    return f"""with {', '.join(ctes)}, losses as ({losses})
+      select cast(batch_id as bigint) as batch_id, cast(n_rows as bigint) as n_rows, round(loss / n_rows, 6) as batch_loss,
+        round(sum(loss) over w / sum(n_rows) over w, 6) as mean_loss
+      from losses window w as (order by batch_id)"""
+
+
+@query("x1_progressive_validation", _progress_sql())
 def x1(spark, sf):
     root = fresh_path(spark, "progress")
     events = fx.table(spark, sf, "events").withColumn("seconds", F.col("ts").cast("timestamp").cast("double"))
     # Slices by time, written one after the other: the stream takes files in the order of their writing.
-    bounds = [r[0] for r in events.select(F.explode(F.percentile("seconds", [0.25, 0.5, 0.75]))).collect()]
+    shares = [k / SLICES for k in range(1, SLICES)]
+    bounds = events.agg(F.percentile("seconds", shares).alias("b")).first()["b"]
     for low, high in zip([None, *bounds], [*bounds, None]):
         part = events.where(F.lit(True) if low is None else F.col("seconds") >= low)
         part = part.where(F.lit(True) if high is None else F.col("seconds") < high)
         part.drop("seconds").coalesce(1).write.mode("append").parquet(f"{root}/in")
-    events = events.drop("seconds")
     learner = progressive.ProgressiveLearner(spark, root)
 
     def prepare(batch):
         rows = batch.withColumn("y", (F.col("event_type") == "purchase").cast("double")).withColumn("id", F.col("event_id"))
         rows = rows.withColumn("hour", F.hour("ts")).withColumn("size", F.floor(F.col("value") / 20))
-        return hash_features(rows.select("id", "y", "user_id", "hour", "size"), ["user_id", "hour", "size"])
+        return hash_features(rows.select("id", "y", "user_id", "hour", "size"), ["user_id", "hour", "size"], SLOTS, "md5")
 
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    stream = spark.readStream.schema(events.drop("seconds").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
     progressive.start(stream, learner, prepare).awaitTermination()
-    return learner.progress()
+    done = learner.progress()
+    return done.select("batch_id", "n_rows", F.round("batch_loss", 6).alias("batch_loss"), F.round("mean_loss", 6).alias("mean_loss"))
 
 
 # ---- dataset versions -------------------------------------------------------------------------
