@@ -6,7 +6,9 @@
 3. Windows of the documents are folded into that space and compared by cosine.  A window
    whose benchmark words hold too little of its weight can't reach the threshold with
    any passage and is left out before.
-4. Candidates are verified on words: longest common subsequence, and for paraphrases
+4. Windows that share a few consecutive words with a passage are candidates whatever
+   their cosine, so that no rare word beside a copy hides it.
+5. Candidates are verified on words: longest common subsequence, and for paraphrases
    the passage's most informative words (its answer) as well.
 """
 
@@ -21,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from strataforge.functions.matrices import tree_merge
-from strataforge.llm.bytewords import ALNUM, text_bytes, word_hashes
+from strataforge.llm.bytewords import ALNUM, mix, text_bytes, word_hashes
 from strataforge.llm.naming import unused
 from strataforge.llm.workers import trimmed
 from strataforge.session import cut
@@ -37,6 +39,10 @@ SHORT, WINDOWS = 24, (16, 32)
 POWER = 3
 #: Passages of a block (their number varies around it), blocks searched in one pass, latent dimensions at most.
 BLOCK, PER_PASS, RANK = 192, 8, 224
+#: Consecutive words that make a window a candidate: a copy with at most an eighth of its words changed has so many in a row.
+SEED = 4
+#: Bits of the table of marks that most other runs of words fail (1 MB).
+MARK_BITS = 20
 #: Items with fewer words are too common to be told from chance.
 SHORTEST = 5
 #: Cosine of candidates; share of a passage in the common subsequence; the same with its answer's share.
@@ -142,6 +148,15 @@ def randomised_svd(rows: DataFrame, vocabulary: np.ndarray, weight: np.ndarray,
     return np.linalg.qr(basis)[0]
 
 
+def _runs(words: np.ndarray) -> np.ndarray:
+    """A hash of the SEED words from each word on."""
+    n = max(0, len(words) - SEED + 1)
+    out = np.zeros(n, np.uint64)
+    for i in range(SEED):
+        out = mix(out * np.uint64(3) + words[i : i + n])
+    return out
+
+
 class Block:
     """Some passages of like length: their words, vocabulary, latent word vectors and latent rows."""
 
@@ -162,6 +177,37 @@ class Block:
         return own[np.argsort(-weight[_slots(own)], kind="stable")[: max(1, len(own) // 3)]]
 
 
+class Seeds:
+    """The runs of SEED words of the passages of some blocks."""
+
+    def __init__(self, blocks: list[Block]) -> None:
+        own = [(np.unique(_runs(w)), b, k) for b, block in enumerate(blocks) for k, w in enumerate(block.words)]
+        many = [len(runs) for runs, _, _ in own]
+        runs = np.concatenate([runs for runs, _, _ in own])
+        order = np.argsort(runs, kind="stable")
+        self.runs, firsts = np.unique(runs[order], return_index=True)
+        self.firsts = np.append(firsts, len(runs))
+        self.block = np.repeat([b for _, b, _ in own], many)[order]
+        self.passage = np.repeat([k for _, _, k in own], many)[order]
+        self.marks = np.zeros(1 << MARK_BITS, dtype=bool)
+        self.marks[self._mark(self.runs)] = True
+
+    def _mark(self, runs: np.ndarray) -> np.ndarray:
+        return (runs >> np.uint64(64 - MARK_BITS)).astype(np.int64)
+
+    def found(self, words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first word, block, passage) of the runs of the texts that begin at ``firsts`` that a passage has as well."""
+        runs = _runs(words)
+        place = np.flatnonzero(self.marks[self._mark(runs)])
+        at = np.minimum(np.searchsorted(self.runs, runs[place]), len(self.runs) - 1)
+        one_text = np.searchsorted(firsts, place, "right") == np.searchsorted(firsts, place + SEED - 1, "right")
+        same = one_text & (self.runs[at] == runs[place])
+        place, at = place[same], at[same]
+        many = self.firsts[at + 1] - self.firsts[at]
+        k = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.firsts[at], many)
+        return np.repeat(place, many), self.block[k], self.passage[k]
+
+
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     """Length of the longest common subsequence, one row of the table at a time as bits of an integer."""
     masks: dict[int, int] = {}
@@ -184,12 +230,13 @@ def _windows(firsts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.
     return text, start, np.minimum(start + size, firsts[text + 1])
 
 
-def _candidates(block: Block, words: np.ndarray, start: np.ndarray, end: np.ndarray, square: np.ndarray):
-    """(windows, passages, cosines) at COSINE or more.
+def _candidates(block: Block, words: np.ndarray, start: np.ndarray, end: np.ndarray, square: np.ndarray, near: np.ndarray):
+    """(windows, passages, cosines) at COSINE or more, and of the pairs ``near``: distinct window * passages + passage, sorted.
 
     By Cauchy and Schwarz a window's cosine with any passage is at most the share
     that the block's words have of its length, so windows below that are left out.
     """
+    near_window, near_passage = np.divmod(near, len(block.items))
     none = len(block.vocabulary)
     at = np.searchsorted(block.vocabulary, words)
     at[at == none] = 0
@@ -203,27 +250,34 @@ def _candidates(block: Block, words: np.ndarray, start: np.ndarray, end: np.ndar
         own[:, 1:][own[:, 1:] == own[:, :-1]] = none
         mass = block.square[own].sum(axis=1)
         length = np.sqrt(mass + other[last] - other[first]) + 1e-12
-        gate = np.flatnonzero(mass >= (COSINE * length) ** 2)
+        own_near = near_window[slice(*np.searchsorted(near_window, (lo, lo + CHUNK)))] - lo
+        gate = np.union1d(np.flatnonzero(mass >= (COSINE * length) ** 2), own_near)
         for k in range(0, len(gate), 512):
             w = gate[k : k + 512]
             cosine = block.latent[own[w]].sum(axis=1) @ block.rows.T / length[w, None]
-            i, passage = np.nonzero(cosine >= COSINE)
+            close = cosine >= COSINE
+            seeded = slice(*np.searchsorted(near_window, (lo + w[0], lo + w[-1] + 1)))
+            close[np.searchsorted(w, near_window[seeded] - lo), near_passage[seeded]] = True
+            i, passage = np.nonzero(close)
             yield lo + w[i], passage, cosine[i, passage]
 
 
 def _search(docs: DataFrame, shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks, weight = shared.value
+        blocks, seeds, weight = shared.value
         answers = [[b.answer(k, weight) for k in range(len(b.items))] for b in blocks]
         for batch in batches:
             for part in _parts(batch):
                 words, firsts = _words(part.column(1))
                 square = weight[_slots(words)].astype(np.float64) ** 2
                 windows = {size: _windows(firsts, size) for size in {b.window for b in blocks}}
+                place, in_block, in_passage = seeds.found(words, firsts)
                 found: dict[tuple[int, int], tuple] = {}
                 for b, block in enumerate(blocks):
                     text, start, end = windows[block.window]
-                    for window, passage, cosine in _candidates(block, words, start, end, square):
+                    own = in_block == b
+                    near = np.unique((np.searchsorted(start, place[own], "right") - 1) * len(block.items) + in_passage[own])
+                    for window, passage, cosine in _candidates(block, words, start, end, square, near):
                         for w, k, c in zip(window.tolist(), passage.tolist(), cosine.tolist()):
                             t, p = int(text[w]), block.words[k]
                             lo = max(int(firsts[t]), int(start[w]) - len(p))
@@ -248,7 +302,9 @@ def leaks(
     """(id, item, lcs, answer, cosine) of every document that holds a benchmark item or a paraphrase of it.
 
     Every window of every whole text is searched, against blocks of benchmark passages
-    that are broadcast a bounded number at a time.  Null and empty texts hold nothing;
+    that are broadcast a bounded number at a time.  A passage that stands in a text word
+    for word, or with at most an eighth of its words changed, is found whatever its words
+    and neighbours are.  Null and empty texts hold nothing;
     neither do rows with a null id.  Items with a null id or fewer than SHORTEST words
     are left out.  Rows with the same id are one document, repeated items count once,
     and empty tables give no rows.
@@ -279,7 +335,7 @@ def leaks(
                 turn = randomised_svd(rows, vocabulary, weight, min(RANK, len(own), len(vocabulary)))
                 blocks.append(Block(window, [i for i, _, _ in own], words, vocabulary, weight, turn))
         if blocks:
-            found = found.unionByName(_search(source, spark.sparkContext.broadcast((blocks, weight))))
+            found = found.unionByName(_search(source, spark.sparkContext.broadcast((blocks, Seeds(blocks), weight))))
     best = found.groupBy("id", "item").agg(F.max(F.struct("lcs", "answer", "cosine")).alias("best"))
     return _named(best.select("id", "item", "best.lcs", "best.answer", "best.cosine"), id, item)
 

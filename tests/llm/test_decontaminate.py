@@ -120,3 +120,29 @@ def test_edges(spark):
     assert clean_documents(docs, bench).columns == docs.columns
     assert leaks(docs.limit(0), bench).count() == 0 and leaks(docs, bench.limit(0)).count() == 0
     assert clean_documents(docs, bench.limit(0)).count() == len(rows)
+
+
+def beside_rare_words(size, changed=0):
+    """Items of ordinary words, each planted in a text of words that occur once."""
+    rnd = random.Random(size)
+    common = [f"w{k}" for k in range(300)]
+    filler = [(1000 + d, " ".join(rnd.choices(common, k=200))) for d in range(200)]
+    items = [(i, rnd.choices(common, k=size)) for i in range(40)]
+    docs = []
+    for i, item in items:
+        copy = list(item)
+        for k in rnd.sample(range(size), changed):
+            copy[k] = f"new{i}x{k}"
+        body = [f"rare{i}x{k}" for k in range(70)]
+        at = rnd.randrange(len(body))
+        docs.append((i, " ".join(body[:at] + copy + body[at:])))
+    return docs, filler, [(i, " ".join(item)) for i, item in items]
+
+
+@pytest.mark.parametrize("size,changed", [(5, 0), (10, 0), (15, 0), (30, 0), (40, 0), (30, 3), (40, 5)])
+def test_ordinary_words_beside_rare_ones(spark, size, changed):
+    docs, filler, items = beside_rare_words(size, changed)
+    table, bench = spark.createDataFrame(docs + filler, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in leaks(table.repartition(4), bench).collect()}
+    assert {(i, i) for i, _ in items} <= got
+    assert not {(d, i) for d, i in got if d >= 1000} or size < 8
