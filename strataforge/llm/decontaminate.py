@@ -9,7 +9,8 @@
 4. Windows that share a few consecutive words with a passage are candidates whatever
    their cosine, so that no rare word beside a copy hides it.
 5. Candidates are verified on words: longest common subsequence, and for paraphrases
-   the passage's most informative words (its answer) as well.
+   the passage's most informative words (its answer) as well; or a long run of words
+   that both have, whatever its share of the passage.
 """
 
 from __future__ import annotations
@@ -47,6 +48,8 @@ MARK_BITS = 20
 SHORTEST = 5
 #: Cosine of candidates; share of a passage in the common subsequence; the same with its answer's share.
 COSINE, VERBATIM, PARAPHRASE, ANSWER = 0.35, 0.8, 0.6, 0.8
+#: Words in a row that are a quotation.  Passages overlap so far that one of them holds all of any such run.
+QUOTED = 13
 #: Texts, and windows, worked on at a time.
 ROWS, CHUNK = 512, 4096
 
@@ -220,6 +223,12 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - bin(state).count("1")
 
 
+def quotes(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether both have the same QUOTED words in a row."""
+    own, other = ({w[i : i + 8 * QUOTED] for i in range(0, len(w) - 8 * QUOTED + 1, 8)} for w in (a.tobytes(), b.tobytes()))
+    return not own.isdisjoint(other)
+
+
 def _windows(firsts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, first word, end) of all windows, each beginning in the middle of the one before, of texts that begin at ``firsts``."""
     n, step = np.diff(firsts), size // 2
@@ -282,9 +291,11 @@ def _search(docs: DataFrame, shared) -> DataFrame:
                             t, p = int(text[w]), block.words[k]
                             lo = max(int(firsts[t]), int(start[w]) - len(p))
                             region = words[lo : min(int(firsts[t + 1]), int(end[w]) + len(p))]
-                            share = common_subsequence(p, region) / len(p)
+                            common = common_subsequence(p, region)
+                            share = common / len(p)
                             answer = float(np.isin(answers[b][k], region).mean())
-                            if share >= VERBATIM or share >= PARAPHRASE and answer >= ANSWER:
+                            told = share >= VERBATIM or share >= PARAPHRASE and answer >= ANSWER
+                            if told or common >= QUOTED and quotes(p, region):
                                 key = (t, block.items[k])
                                 found[key] = max(found.get(key, (0.0, 0.0, 0.0)), (share, answer, min(c, 1.0)))
                 if found:
@@ -299,12 +310,13 @@ def _search(docs: DataFrame, shared) -> DataFrame:
 def leaks(
     docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
-    """(id, item, lcs, answer, cosine) of every document that holds a benchmark item or a paraphrase of it.
+    """(id, item, lcs, answer, cosine) of every document that holds a benchmark item, a paraphrase or QUOTED words in a row of it.
 
     Every window of every whole text is searched, against blocks of benchmark passages
     that are broadcast a bounded number at a time.  A passage that stands in a text word
     for word, or with at most an eighth of its words changed, is found whatever its words
-    and neighbours are.  Null and empty texts hold nothing;
+    and neighbours are; so is any run of QUOTED words of an item, wherever it begins (then
+    ``lcs`` can be below the shares asked of the others).  Null and empty texts hold nothing;
     neither do rows with a null id.  Items with a null id or fewer than SHORTEST words
     are left out.  Rows with the same id are one document, repeated items count once,
     and empty tables give no rows.
@@ -345,7 +357,7 @@ def _named(found: DataFrame, id: str, item: str) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", **names) -> DataFrame:
-    """The documents that hold no benchmark item.  Rows with a null id stay."""
+    """The documents that hold no benchmark item and no long quotation of one.  Rows with a null id stay."""
     name = unused(docs.columns, "_dirty")
     dirty = leaks(docs, benchmark, id=id, **names).select(F.col(id).alias(name)).distinct()
     return docs.join(dirty, F.col(f"`{id}`") == F.col(name), "left_anti")

@@ -146,3 +146,19 @@ def test_ordinary_words_beside_rare_ones(spark, size, changed):
     got = {(r["doc_id"], r["item_id"]) for r in leaks(table.repartition(4), bench).collect()}
     assert {(i, i) for i, _ in items} <= got
     assert not {(d, i) for d, i in got if d >= 1000} or size < 8
+
+
+def test_excerpts(spark):
+    """A quotation is found wherever in the item it begins; one word less is not enough by itself."""
+    rnd = random.Random(3)
+    items = [(i, [f"i{i}w{rnd.randrange(300)}" for _ in range(n)]) for i, n in enumerate([59, 64, 96, 150, 300])]
+    docs, want = [], set()
+    for i, item in items:
+        for size in (12, 13, 40, 50):
+            for at in range(0, len(item) - size + 1, 7):
+                d = len(docs)
+                docs.append((d, " ".join([f"a{d}x{k}" for k in range(20)] + item[at : at + size] + [f"b{d}x{k}" for k in range(20)])))
+                if size > 12:
+                    want.add((d, i))
+    table, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in leaks(table.repartition(4), bench).collect()} == want
