@@ -29,6 +29,8 @@ _TITLE_GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 _NAME = r"[^\W\d_a-z][^\W\d_]+(?:[-'’][^\W\d_]+)?"
 _TITLE = "|".join(sorted(map(re.escape, _TITLE_GENDER), key=len, reverse=True))
 _PERSON = re.compile(rf"(?<!\w)({_TITLE})\.? ({_NAME})(?: ({_NAME}))?")
+_POSSESSIVE = re.compile("['’][sS]$")
+_PART = re.compile(r"\w+")
 _EMAIL = re.compile(r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])")
 _IP = re.compile(r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\.?\d)")
 _CARD = re.compile(r"(?<![\d+.-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\d)")
@@ -36,7 +38,7 @@ _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
 _PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\w)")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 _CLOUD = re.compile(r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)|(?<!\w)gh[posu]_[A-Za-z0-9]{36}(?!\w)|(?<!\w)sk-[A-Za-z0-9-]{20,}(?!\w)")
-_SECRET = re.compile(r"(?<!\w)(?:passw(?:or)?d|passphrase|pwd|token|secret|api[_-]?key|access[_-]?key)[\"']?\s*[:=]\s*[\"']?([^\s\"',;]{6,})", re.I)
+_SECRET = re.compile(r"(?<![^\W_])(?:passw(?:or)?d|passphrase|pwd|token|secret|api[_-]?key|access[_-]?key)[\"']?\s*[:=]\s*[\"']?([^\s\"',;]{6,})", re.I)
 _DIGIT = re.compile("[0-9]")
 _SECRET_MARKS = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "ghu_", "sk-", "=", ":")
 
@@ -102,6 +104,37 @@ def _phone(m: re.Match) -> tuple[str, str] | None:
     return ("phone", ("+" if m.group()[0] == "+" else "") + v) if 7 <= len(v) <= 15 else None
 
 
+def _persons(text: str) -> list[Entity]:
+    """Names after a form of address; a possessive ending isn't part of one."""
+    found = []
+    for m in _PERSON.finditer(text):
+        kinds = [f"given_{_TITLE_GENDER[m.group(1)]}", "surname"] if m.group(3) else ["surname"]
+        for group, kind in enumerate(kinds, 2):
+            name = _POSSESSIVE.sub("", m.group(group))
+            found.append(Entity(m.start(group), m.start(group) + len(name), kind, name))
+    return found
+
+
+def _mentions(text: str, persons: list[Entity]) -> list[Entity]:
+    """Whole words that are names of ``persons``, also in capitals; a name of two persons is the first one's."""
+    known: dict[str, Entity] = {}
+    for e in persons:
+        if e.value not in _TITLE_GENDER and not e.value[0].islower():
+            for form in (e.value, e.value.upper(), e.value.title()):
+                known.setdefault(form, e)
+    found, parts, done = [], list(_PART.finditer(text)) if known else [], 0
+    for m, after in zip(parts, [*parts[1:], None]):
+        if m.start() < done:
+            continue
+        ends = [after.end()] if after and after.start() == m.end() + 1 and text[m.end()] in "-'’" else []
+        for end in (*ends, m.end()):
+            if e := known.get(text[m.start() : end]):
+                found.append(Entity(m.start(), end, e.kind, e.value))
+                done = end
+                break
+    return found
+
+
 def detect(text: str) -> list[Entity]:
     """Entities without overlap, in order.  Cheap tests come first: most texts hold none.
 
@@ -123,12 +156,9 @@ def detect(text: str) -> list[Entity]:
     for pattern, group, read in _plain_finds(text):
         take([Entity(m.start(group), m.end(group), *x) for m in pattern.finditer(rest) if (x := read(m))])
     if any(t + " " in text or t + ". " in text for t in _TITLE_GENDER):
-        for m in _PERSON.finditer(rest):
-            given = f"given_{_TITLE_GENDER[m.group(1)]}"
-            if m.group(3):
-                found.append(Entity(m.start(2), m.end(2), given, m.group(2)))
-            last = 3 if m.group(3) else 2
-            found.append(Entity(m.start(last), m.end(last), "surname", m.group(last)))
+        persons = _persons(rest)
+        take(persons)
+        take(_mentions(rest, persons))
     return sorted(found, key=lambda e: e.start)
 
 

@@ -139,3 +139,32 @@ def test_table(spark):
         assert not found or r["text"] != old[r["doc_id"]]
         assert all(old[r["doc_id"]][e.start : e.end] not in r["text"] for e in found)
     assert n > 20
+
+
+def test_later_mentions(spark):
+    """Bare names get the surrogates of the titled mention, before and after it, in capitals and with endings."""
+    text = "Keller's notes: Dr Anna Keller wrote. Keller said that Anna, KELLER-MEIER and Anna-Lena (Kellers, keller) met Herr Jung-Weber; Jung-Weber left."
+    docs = spark.createDataFrame([(1, text), (2, "Keller and Anna, no title"), (3, "Mr. Smith's car, Smith's")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in replace_entities(docs, KEY).collect()}
+    new = got[1]["text"]
+    given, surname = re.search(r"Dr (\w+) (\w+) wrote", new).groups()
+    double = re.search(r"Herr ([\w-]+);", new).group(1)
+    assert new == (
+        f"{surname}'s notes: Dr {given} {surname} wrote. {surname} said that {given}, {surname.upper()}-MEIER and {given}-Lena (Kellers, keller) "
+        f"met Herr {double}; {double} left."
+    )
+    assert {"Anna", "Keller", "Jung"}.isdisjoint({given, surname, double}) and got[1]["n_entities"] == 9
+    assert got[2]["text"] == "Keller and Anna, no title" and got[2]["n_entities"] == 0
+    smith = re.match(r"Mr\. (\w+)'s car, (\w+)'s$", got[3]["text"]).groups()
+    assert smith[0] == smith[1] != "Smith"
+
+
+@pytest.mark.parametrize("text", ["DB_PASSWORD=hunter22x", "my_api_key: 'abc123def'", "AWS_SECRET_ACCESS_KEY=wJalrXUtnF", "__token = zyx987"])
+def test_secrets_after_an_underscore(text):
+    assert [e.kind for e in detect(text)] == ["secret"]
+
+
+def test_mentions_are_only_names():
+    """Neither words in lower case nor forms of address become names of the whole text."""
+    assert [e.value for e in detect("Herr Dr. Maier, Dr und Mr. Brown, a brown hat")] == ["Dr", "Brown"]
+    assert detect("mytoken=abcdefgh") == []
