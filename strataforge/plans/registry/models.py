@@ -17,6 +17,7 @@ from strataforge.operators.selection import ridge_cv
 from strataforge.operators.split import k_folds
 from strataforge.operators.stacking import ALPHAS
 from strataforge.operators.stumps import bagged_stumps
+from strataforge.operators.trees import fit_forest, forest_cv_auc, random_forest
 from strataforge.plans import feature_build as V
 from strataforge.plans import fixtures as fx
 from strataforge.plans import tuning
@@ -48,9 +49,7 @@ def m1(spark, sf):
 @query("m2_early_stopped_boosting")
 def m2(spark, sf):
     train, valid, test = _rows(spark, sf)
-    config = M.BoostConfig("v9_r5", 10, 0.1, 8, 0.5, 0.5, 4, 0.1, 15, 5)
-    model = M.fit_early_stopped(M.boosted_trees(config, train.count()), train, valid, FEATURES, patience=config.patience)
-    return model.score(test)
+    return M.fit_run(M.BOOST_CONFIGS["base"], train, valid, FEATURES).score(test)
 
 
 @query("m3_rf_probability")
@@ -63,14 +62,13 @@ def m3(spark, sf):
 def m4(spark, sf):
     train, _, _ = _rows(spark, sf)
     folds = k_folds(train, "id", 5, "cv", ["y"], "fold5")
-    return M.cross_validated_auc(lambda: M.forest(10, 2, 5, 2), folds, FEATURES, "fold5", 5)
+    return forest_cv_auc(folds, FEATURES, "fold5", 5, 800, random_forest(FEATURES, 2, min_split=5))
 
 
 @query("m5_extra_trees")
 def m5(spark, sf):
     train, _, test = _rows(spark, sf)
-    weighted = M.balanced_weights(train, "y")
-    return M.fit(M.extra_trees(20, 42, 5, 6), weighted, FEATURES, weight="weight").score(test)
+    return M.extra_trees(train, FEATURES).score(test)
 
 
 @query("m6_adaboost")
@@ -203,14 +201,15 @@ def m12(spark, sf):
 @query("m13_predict")
 def m13(spark, sf):
     train, valid, test = _rows(spark, sf)
-    models = {"forest": M.fit(M.forest(10, 12, 5), train, FEATURES), "boosted": M.fit(M.gbm(5, 0.1, 4), train, FEATURES)}
+    models = {"forest": fit_forest(train, FEATURES, 250, random_forest(FEATURES)), "extra": M.extra_trees(train, FEATURES)}
     return M.predict(models, valid.unionByName(test))
 
 
 @query("m14_seed_bag")
 def m14(spark, sf):
     train, _, test = _rows(spark, sf)
-    return M.seed_bag(lambda s: M.gbm(3, 0.1, 4, s), train, test, FEATURES)
+    run = lambda s: M.BoostConfig("search", s, 0.8, 2, 0.7, 0.7, 8, 1.0, 250, 20)
+    return M.seed_bag(lambda s: lambda rows, held: M.fit_run(run(s), rows, held, FEATURES), train, test, FEATURES)
 
 
 ALPHA_TRIALS = [{"alpha": a / 10} for a in range(0, 11)]
@@ -242,19 +241,15 @@ def m15(spark, sf):
 @query("m15_forest_search")
 def m15_forest(spark, sf):
     train, _, _ = _rows(spark, sf)
-    folds = cut(k_folds(train, "id", 3, "cv", ["y"], "fold3"))
-    objective = tuning.forest_objective(folds, FEATURES, "fold3", 3, depth=4)
-    return tuning.maximize(spark, objective, {"n_estimators": (5, 10), "min_samples_split": (5, 2)}, 2)
+    folds = cut(k_folds(train, "id", 5, "cv", ["y"], "fold5"))
+    objective = tuning.forest_objective(folds, FEATURES, "fold5", 5)
+    return tuning.maximize(spark, objective, M.SEARCH_BOXES["forest"][0], 1)
 
 
 @query("m15_boost_search")
 def m15_boost(spark, sf):
     train, _, _ = _rows(spark, sf)
-    boxes = {
-        "max_depth": (3, 5), "learning_rate": (0.45, 0.1), "n_estimators": (4, 8), "gamma": (1.0, 0.1),
-        "min_child_weight": (2, 15), "subsample": (0.7, 0.9), "colsample_bytree": (0.7, 0.9),
-    }
-    return tuning.maximize(spark, tuning.boost_objective(train, FEATURES), boxes, 2)
+    return tuning.maximize(spark, tuning.boost_objective(train, FEATURES), M.SEARCH_BOXES["boost"][0], 2)
 
 
 @query("m15_ftrl_search")

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from strataforge.operators import correlation as R
 from strataforge.operators import lincomb as L
-from strataforge.operators import models as M
 from strataforge.operators import profile as P
 from strataforge.operators import selection as S
 from strataforge.operators.encode import encode_sorted
@@ -241,15 +240,12 @@ def c15(spark, sf):
 
 @query("c16_importance_rf")
 def c16(spark, sf):
-    df = _signal(spark, sf)
-    return S.importances(df, ["a", "n2", "n4", "zip"], lambda rep: M.forest(20, rep, 6))
+    return S.forest_importance(_signal(spark, sf), ["a", "n2", "n4", "zip"])
 
 
 @query("c17_importance_gbm")
 def c17(spark, sf):
-    df = _signal(spark, sf)
-    make = lambda rep: M.gbm(5, 0.05, 5, rep)
-    return S.importances(df, ["a", "n2", "n4", "zip"], make, times=3, tag="impg")
+    return S.boosted_importance(_signal(spark, sf), ["a", "n2", "n4", "zip"])
 
 
 # Importances here are sums over lineitem: sparse ones stand for boosting, dense for forests.

@@ -52,11 +52,10 @@ def _holdout_auc(model, test):
 
 def test_models_find_the_planted_signal(data):
     train, test = data
-    weighted = M.balanced_weights(train, "y")
     fits = [
         M.fit(M.gbm(10, 0.1, 3), train, FEATURES),
         M.fit(M.forest(20, 12, 5), train, FEATURES),
-        M.fit(M.extra_trees(20, 42, 5, 5), weighted, FEATURES, weight="weight"),
+        M.extra_trees(train, FEATURES, 20),
         M.fit(M.neural_net(4, (6,), max_iter=40), train, FEATURES),
         M.adaboost(train, FEATURES, rounds=10, rate=0.5),
         M.adaboost(train, FEATURES, rounds=10, rate=0.5, algorithm="SAMME"),
@@ -72,36 +71,6 @@ def test_same_seed_same_scores(data):
     assert a == b
 
 
-def test_early_stop_uses_the_staged_ensemble(data):
-    train, test = data
-    config = M.BoostConfig("t", 1, 0.3, 1, 1.0, 1.0, 3, 0.0, 12, 3)
-    model = M.fit_early_stopped(M.boosted_trees(config), train, test, FEATURES, patience=3)
-    stages = dict(model.history)
-    assert _holdout_auc(model, test) == pytest.approx(stages[model.stage], abs=1e-9)
-    assert stages[model.stage] == max(v for s, v in stages.items() if s <= model.stage + 3)
-    whole = M.EarlyStopped(model.fitted, 12, [])
-    assert _holdout_auc(whole, test) == pytest.approx(_holdout_auc(model.fitted, test), abs=1e-9)
-
-
-def test_staged_scores_in_chunks(data, monkeypatch):
-    train, test = data
-    config = M.BoostConfig("t", 1, 0.3, 1, 1.0, 1.0, 2, 0.0, 7, 50)
-    est = M.boosted_trees(config)
-    whole = M.fit_early_stopped(est, train, test, FEATURES, patience=50)
-    monkeypatch.setattr(M, "STAGE_CHUNK", 3)
-    parts = M.fit_early_stopped(est, train, test, FEATURES, patience=50)
-    assert [s for s, _ in parts.history] == list(range(1, 8))
-    assert np.allclose([v for _, v in parts.history], [v for _, v in whole.history])
-    a, b = (m.score(test).orderBy("id").toPandas()["score"] for m in (whole, parts))
-    assert np.allclose(a, b)
-
-
-def test_best_stage_stops_after_flat_rounds():
-    assert M.best_stage([(1, 0.5), (2, 0.6), (3, 0.6), (4, 0.55), (5, 0.9)], 2) == 2
-    assert M.best_stage([(1, 0.5), (2, 0.6), (3, 0.6), (4, 0.55), (5, 0.9)], 3) == 5
-    assert M.best_stage([(1, 0.5), (2, 0.6), (3, 0.55), (4, 0.5), (5, 0.6), (6, 0.9)], 3) == 2
-
-
 def test_boosting_weights_follow_the_definition(spark):
     """SAMME on one column against the textbook update: pick the purest split, weigh by its error."""
     pdf = pd.DataFrame({"id": range(8), "x": [1.0, 2, 3, 4, 5, 6, 7, 8], "y": [0, 0, 1, 0, 1, 1, 0, 1]})
@@ -179,13 +148,29 @@ def test_ridge_on_offset_columns_and_a_fold_called_f(spark):
     assert len(a) == 4 and np.allclose(a, when, atol=1e-3)
 
 
-def test_boosting_limits_are_errors():
-    config = M.BOOST_CONFIGS["run13"]
-    with pytest.raises(ValueError, match="depth"):
-        M.boosted_trees(config, 1000)
-    with pytest.raises(ValueError, match="rows"):
-        M.boosted_trees(M.BOOST_CONFIGS["base"])
-    assert M.boosted_trees(M.BOOST_CONFIGS["base"], 1000).getMinInfoGain() == pytest.approx(0.1 / 1000)
+def test_named_runs_keep_their_limits():
+    boosting = M.boosting_of(M.BOOST_CONFIGS["run13"])
+    assert (boosting.growth.max_depth, boosting.growth.step, boosting.growth.gamma) == (48, 0.5794087931, 0.882)
+    assert (boosting.rounds, boosting.patience, boosting.colsample) == (5000, 50, 0.84567)
+
+
+def test_deep_run_with_a_step_limit(data):
+    train, test = data
+    config = dataclasses.replace(M.BOOST_CONFIGS["run13"], eta=0.3, rounds=6)
+    model = M.fit_run(config, train, test, FEATURES)
+    assert _holdout_auc(model, test) == pytest.approx(max(v for _, v in model.history))
+    assert abs(model.value).max() <= 0.3 * 0.5794087931 + 1e-12
+
+
+def test_importances_of_all_samples(spark, data):
+    train, _ = data
+    for found in (
+        S.forest_importance(train, FEATURES, times=4, share=0.4, trees=10),
+        S.boosted_importance(train, FEATURES, times=4, share=0.4, rounds=5, depth=4),
+    ):
+        mean = {r["var"]: r["m"] for r in found.groupBy("var").agg(F.avg("importance").alias("m")).collect()}
+        assert found.count() == 16 and found.select("rep").distinct().count() == 4
+        assert max(mean, key=mean.get) in ("a", "b") and min(mean.values()) >= 0
 
 
 def test_search_points_and_best_trial(spark):
@@ -392,7 +377,7 @@ def test_named_runs_and_selected_versions(spark, data, tmp_path):
     train, test = data
     small = dataclasses.replace(M.BOOST_CONFIGS["base"], rounds=4, depth=3, eta=0.3, colsample=1.0, patience=2)
     model = named_runs.boosted_run(small, FEATURES)(train, test)
-    assert 1 <= model.stage <= 4 and model.score(test).count() == test.count()
+    assert 1 <= len(model.root) <= 4 and model.score(test).count() == test.count()
     assert set(named_runs.named_runs(["base", "run3"], {"v9_r5": FEATURES})) == {"base", "run3"}
     picks = spark.createDataFrame([("r1", "a"), ("r1", "b"), ("r2", "c"), ("r2", "gone")], "version string, var string")
     paths = named_runs.write_selected({"train": train, "test": test.drop("y")}, picks, str(tmp_path), ["id", "y"])
@@ -415,7 +400,7 @@ def test_best_point_is_fitted_for_every_seed(spark, data):
 
 
 def test_boosted_extra_trees_objective(spark, data):
-    value = tuning.boosted_extra_objective(data[0], FEATURES, rounds=2, depth=3)(n_estimators=3, min_samples_split=2)
+    value = tuning.boosted_extra_objective(data[0], FEATURES, rounds=2)(n_estimators=3, min_samples_split=2)
     assert value > 0.7
 
 
