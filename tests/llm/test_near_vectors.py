@@ -14,14 +14,14 @@ def by_hand(rows, threshold):
         i for i, (k, v) in enumerate(rows)
         if k is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)
     ]
-    sizes = [len(rows[i][1]) for i in sound]
-    if sizes:
-        d = max(set(sizes), key=lambda s: (sizes.count(s), s))
-        sound = [i for i in sound if len(rows[i][1]) == d]
-    x = np.array([rows[i][1] for i in sound], dtype=np.float64).reshape(len(sound), -1)
-    x = x / np.abs(x).max(axis=1, keepdims=True) if len(sound) else x
-    x = x / np.linalg.norm(x, axis=1, keepdims=True) if len(sound) else x
-    linked = x @ x.T >= threshold if len(sound) else np.zeros((0, 0), bool)
+    x = [np.array(rows[i][1], dtype=np.float64) for i in sound]
+    x = [v / np.abs(v).max() for v in x]
+    x = [v / np.linalg.norm(v) for v in x]
+    linked = np.zeros((len(sound), len(sound)), bool)
+    for d in {len(v) for v in x}:  # lengths don't mix
+        at = np.array([k for k, v in enumerate(x) if len(v) == d])
+        own = np.array([x[k] for k in at])
+        linked[np.ix_(at, at)] = own @ own.T >= threshold
     ids = np.array([rows[i][0] for i in sound])
     label = ids.copy()
     while len(label):
@@ -81,3 +81,33 @@ def test_no_pairs_leave_a_meeting(spark):
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = near_vectors(vectors).collect()
     assert {(r["n_links"], r["component_id"]) for r in got} == {(599, 0)}
+
+
+def test_two_lengths(spark, monkeypatch):
+    """The rarer length is compared too, and lengths never link with each other."""
+    monkeypatch.setattr(module, "TILE", 32)
+    monkeypatch.setattr(module, "STRIP", 2)
+    rows = some_vectors(4, 300, 24) + [(1000 + i, v) for i, v in some_vectors(5, 120, 8)] + [(2000 + i, [1.0]) for i in range(4)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = sorted(map(tuple, near_vectors(vectors).collect()), key=str)
+    assert got == by_hand(rows, 0.95)
+    assert sum(n for k, n, *_ in got if 1000 <= k < 2000) > 0
+
+
+def test_signed_zeros_are_equal(spark):
+    rows = [(1, [0.0, 1.0]), (2, [-0.0, 1.0])]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {tuple(r) for r in got} == {(1, 1, 1, True), (2, 1, 1, False)}
+
+
+def test_only_leading_coordinates_travel(spark, monkeypatch):
+    """A tile goes to as many squares as there are strips, and few whole vectors follow."""
+    monkeypatch.setattr(module, "TILE", 32)
+    monkeypatch.setattr(module, "STRIP", 8)
+    rows = some_vectors(6, 1000, 48)
+    vectors = spark.createDataFrame(rows, "rep long, vec array<double>")
+    packed = module.tiles(vectors)
+    dealt, tasks = module.squares(packed, {48: 1000})
+    assert packed.count() == 32 and tasks == 10
+    assert dealt.count() == 32 * 5  # four strips: held in 4 - a squares, visiting in a + 1
+    assert "vec" not in dealt.columns
