@@ -103,7 +103,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 
 def fit_rows(docs: DataFrame, rows: int) -> list:
-    """Packed features of the ``rows`` documents with the smallest hashes of their ids."""
+    """Packed features of the ``rows`` documents with the smallest hashes of their ids, one row per id."""
     chosen = docs.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,8 +123,9 @@ def fit_rows(docs: DataFrame, rows: int) -> list:
                     names=["pattern", "columns", "values"],
                 )
 
-    few = docs.join(F.broadcast(chosen), "id", "left_semi").select("text")
-    return few.mapInArrow(trimmed(run), "pattern long, columns binary, values binary").limit(2 * rows).collect()
+    # One row per chosen id, whatever order tasks end in: the text with the smallest hash.
+    few = docs.join(F.broadcast(chosen), "id", "left_semi").groupBy("id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    return few.select("text").mapInArrow(trimmed(run), "pattern long, columns binary, values binary").collect()
 
 
 def train(packed: list, posterior: dict[int, float], rounds: int = 150, decay: float = 1e-3) -> np.ndarray:

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from strataforge.llm import quality
 from strataforge.llm.quality import label_model, quality_scores
 from strataforge.llm.text_signals import ABSTAIN, CLEAN, JUNK, LABELLERS, measures, votes
 
@@ -69,3 +70,11 @@ def test_edges(spark):
     assert quality_scores(docs.limit(0)).count() == 0
     again = quality_scores(docs).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
+
+
+def test_one_fit_row_per_id(spark):
+    """A hot id gives one row, the same whatever the order of the table."""
+    rows = [(7, f"text number {i} of many words {i % 7}") for i in range(300)] + [(i, f"other words {i}") for i in range(100, 140)] + [(7, None)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    packed = [sorted(map(tuple, quality.fit_rows(docs.repartition(n), 64))) for n in (1, 7)]
+    assert len(packed[0]) == 41 and packed[0] == packed[1]
