@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 import unicodedata
 from dataclasses import dataclass
@@ -26,19 +27,29 @@ ENDINGS = {
 }
 
 _TITLE_GENDER = {t: g for g, ts in TITLES.items() for t in ts}
-_NAME = r"[^\W\d_a-z][^\W\d_]+(?:[-'’][^\W\d_]+)?"
+#: Titles after which two family names follow, and words inside family names.
+_TWO_SURNAMES = {"Señor", "Señora", "Sr", "Sra", "Srta", "Dra"}
+_PARTICLES = "von van vom zu zur zum de der den del della di da du do dos das la le ten ter bin al af av".split()
+_NAME = r"[^\W\d_a-z](?:[^\W\d_]+|(?=['’]))(?:[-'’][^\W\d_]+)*"
 _TITLE = "|".join(sorted(map(re.escape, _TITLE_GENDER), key=len, reverse=True))
-_PERSON = re.compile(rf"(?<!\w)({_TITLE})\.? ({_NAME})(?: ({_NAME}))?")
+_TITLED = rf"(?:{_TITLE})\.? "
+# A name, perhaps behind particles, or an initial; three names at most.
+_PIECE = rf"(?:(?:{'|'.join(_PARTICLES)}) ){{0,3}}{_NAME}"
+_PERSON = re.compile(rf"(?<!\w)((?:{_TITLED})+)((?:[^\W\d_a-z]\. )*{_PIECE}(?:(?: [^\W\d_a-z]\.)* {_PIECE}){{0,2}})")
+_WORD = re.compile(_NAME)
 _POSSESSIVE = re.compile("['’][sS]$")
 _PART = re.compile(r"\w+")
-_EMAIL = re.compile(r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])")
+_EMAIL = re.compile(r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[^\W_](?:(?:[^\W_]|-){0,62})\.)+[^\W\d_]{2,24}(?![\w-])")
 _IP = re.compile(r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\.?\d)")
+_IP6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:.])")
 _CARD = re.compile(r"(?<![\d+.-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\d)")
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
-_PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\w)")
+_PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4}|0\d{1,4}[ /-]\d{5,8}|0\d(?:[ .]\d{2}){4})(?!\w)")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 _CLOUD = re.compile(r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)|(?<!\w)gh[posu]_[A-Za-z0-9]{36}(?!\w)|(?<!\w)sk-[A-Za-z0-9-]{20,}(?!\w)")
 _SECRET = re.compile(r"(?<![^\W_])(?:passw(?:or)?d|passphrase|pwd|token|secret|api[_-]?key|access[_-]?key)[\"']?\s*[:=]\s*[\"']?([^\s\"',;]{6,})", re.I)
+_BEARER = re.compile(r"(?<!\w)(?:[Bb]earer\s+([A-Za-z0-9_.~+/=-]{16,})|(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{5,}))")
+_SPOKEN = re.compile(r"(?<![^\W_])(?:password|passphrase|token|secret) is [\"']?((?=[^\s\"',;]*[\d!@#$%^&*])[^\s\"',;]{6,}[^\s\"',;.])", re.I)
 _DIGIT = re.compile("[0-9]")
 _SECRET_MARKS = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "ghu_", "sk-", "=", ":")
 
@@ -83,12 +94,27 @@ def _plain_finds(text: str) -> list:
     if any(m in text for m in _SECRET_MARKS):
         tries.append((_CLOUD, 0, lambda m: ("key", m.group())))
         tries.append((_SECRET, 1, lambda m: ("secret", m.group(1))))
+    if "earer" in text or "eyJ" in text:
+        tries += [(_BEARER, 1, lambda m: ("secret", m.group(1))), (_BEARER, 2, lambda m: ("secret", m.group(2)))]
+    if any(w + " is " in text for w in ("ssword", "sphrase", "oken", "ecret")):
+        tries.append((_SPOKEN, 1, lambda m: ("secret", m.group(1))))
+    if "::" in text or text.count(":") > 6:
+        tries.append((_IP6, 0, _ip6))
     if _DIGIT.search(text):
         tries += [(_IP, 0, lambda m: ("ip", m.group())), (_IBAN, 0, _iban), (_CARD, 0, _card)]
         tries += [(_SSN, 0, lambda m: ("ssn", _digits(m.group()))), (_PHONE, 0, _phone)]
     return tries
 
 
+def _ip6(m: re.Match) -> tuple[str, str] | None:
+    try:
+        address = ipaddress.IPv6Address(m.group())
+    except ValueError:
+        return None
+    # Two letters around colons, as in code, are no address.
+    return ("ip6", f"{int(address):032x}") if len(m.group().replace(":", "")) >= 5 else None
+
+
 def _iban(m: re.Match) -> tuple[str, str] | None:
     v = m.group().replace(" ", "")
     return ("iban", v) if 15 <= len(v) <= 34 and _mod97(v) == 1 else None
@@ -105,13 +131,26 @@ def _phone(m: re.Match) -> tuple[str, str] | None:
 
 
 def _persons(text: str) -> list[Entity]:
-    """Names after a form of address; a possessive ending isn't part of one."""
+    """Names after forms of address; initials, particles and a possessive ending aren't part of one.
+
+    One name is a surname.  Of several the first is a given name and the last a surname; what is between them
+    is a given name, or a surname after a particle or a title that goes with two family names.
+    """
     found = []
     for m in _PERSON.finditer(text):
-        kinds = [f"given_{_TITLE_GENDER[m.group(1)]}", "surname"] if m.group(3) else ["surname"]
-        for group, kind in enumerate(kinds, 2):
-            name = _POSSESSIVE.sub("", m.group(group))
-            found.append(Entity(m.start(group), m.start(group) + len(name), kind, name))
+        titles = [t.rstrip(".") for t in m.group(1).split()]
+        gender = next((g for t in titles if (g := _TITLE_GENDER[t]) != "u"), "u")
+        names = []
+        for w in _WORD.finditer(text, m.start(2), m.end(2)):
+            before = text[m.start(2) : w.start()].split()
+            names.append((w, bool(before) and before[-1] in _PARTICLES))
+        two = any(t in _TWO_SURNAMES for t in titles)
+        last = False
+        for k, (w, behind) in enumerate(names):
+            last = last or behind or k == len(names) - 1 or two and k > 0
+            name = _POSSESSIVE.sub("", w.group())
+            if len(name) > 1:
+                found.append(Entity(w.start(), w.start() + len(name), "surname" if last else f"given_{gender}", name))
     return found
 
 
@@ -154,7 +193,7 @@ def detect(text: str) -> list[Entity]:
             rest = "".join([*parts, rest[at:]])
 
     for pattern, group, read in _plain_finds(text):
-        take([Entity(m.start(group), m.end(group), *x) for m in pattern.finditer(rest) if (x := read(m))])
+        take([Entity(m.start(group), m.end(group), *x) for m in pattern.finditer(rest) if m.group(group) and (x := read(m))])
     if any(t + " " in text or t + ". " in text for t in _TITLE_GENDER):
         persons = _persons(rest)
         take(persons)
@@ -235,6 +274,8 @@ class Surrogates:
                 number = number << 8 | int(part)
             hexed = int(self.permute(f"{number:08x}", tweak, hexadecimal=True), 16)
             return ".".join(str(hexed >> s & 255) for s in (24, 16, 8, 0))
+        if kind == "ip6":
+            return ipaddress.IPv6Address(int(self.permute(value, tweak, hexadecimal=True), 16)).compressed
         if kind == "card":
             body = value[0] + self.permute(value[1:-1], tweak)
             # What was a valid number stays one; an invalid one stays as wrong as it was.

@@ -78,8 +78,8 @@ def exceptions(entities: DataFrame, key: bytes) -> DataFrame:
 def replace_entities(docs: DataFrame, key: bytes, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with personal data replaced, ``n_entities`` and sorted distinct ``kinds``.
 
-    Kinds: email, phone, ip, card, iban, ssn, key, secret, and names after a form of
-    address (given name and surname apart).  All other places of the same text that
+    Kinds: email, phone, ip, ip6, card, iban, ssn, key, secret, and names after forms of
+    address (given names and surnames apart, up to three; initials and particles stay).  All other places of the same text that
     have one of these names as a whole word, before or after, get the same replacement.
     Persons whom a text never names with a form of address are not found.
     Replacements keep separators, lengths, check digits, script, capitals and gender.
