@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from strataforge.operators.ftrl import BATCH_ROWS, FtrlParams, score_rows, train
+from strataforge.operators.ftrl import FtrlParams, score_rows
 from strataforge.operators.hashed import DEFAULT_SLOTS, hash_features
+from strataforge.operators.local_ftrl import PART_ROWS, SYNCS, train_in_parts
 
 
 def hashed_rows(
@@ -20,10 +21,10 @@ def hashed_rows(
 
 def learn_and_score(
     train_df: DataFrame, test_df: DataFrame, features: list[str], row_id: str = "id",
-    label: str = "y", params: FtrlParams = FtrlParams(), epochs: int = 2, batch_rows: int = BATCH_ROWS,
+    label: str = "y", params: FtrlParams = FtrlParams(), epochs: int = 2, syncs: int = SYNCS, part_rows: int = PART_ROWS,
     size: int = DEFAULT_SLOTS,
 ) -> DataFrame:
     """(id, target) for the test rows.  Their label is unknown, so no loss is taken."""
-    model, _ = train(hashed_rows(train_df, features, row_id, label, size), params, epochs, batch_rows, row_id)
+    model, _ = train_in_parts(hashed_rows(train_df, features, row_id, label, size), params, epochs, syncs, part_rows, row_id)
     scored = score_rows(hashed_rows(test_df, features, row_id, None, size), model, row_id)
     return scored.select(row_id, F.col("p").alias("target"))

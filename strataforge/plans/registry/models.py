@@ -162,7 +162,7 @@ def m10(spark, sf):
 def m10_train(spark, sf):
     rows = fx.base(spark, sf)
     return learn_and_score(
-        rows.where("split = 'train'"), rows.where("split = 'test'"), ["prio", "st", "state1", "lvl"], batch_rows=2000
+        rows.where("split = 'train'"), rows.where("split = 'test'"), ["prio", "st", "state1", "lvl"]
     )
 
 
@@ -255,8 +255,7 @@ def m15_boost(spark, sf):
 @query("m15_ftrl_search")
 def m15_ftrl(spark, sf):
     rows = cut(hashed_rows(fx.base(spark, sf).where("split = 'train'"), ["prio", "lvl"], "id", "y"))
-    boxes = {"alpha": (0.005, 0.1), "beta": (0.5, 2.0), "l1": (0.0, 0.5), "l2": (0.5, 2.0), "epoch": (1, 2)}
-    return tuning.maximize(spark, tuning.ftrl_objective(rows, batch_rows=5000), boxes, 2)
+    return tuning.maximize(spark, tuning.ftrl_objective(rows), M.SEARCH_BOXES["ftrl"][0], 5)
 
 
 @query(
