@@ -108,7 +108,7 @@ def test_optional(tmp_path):
 
     everything = names(root)
     mine = {n for n in everything if re.match(r"op\d+_|pipeline$", n)}
-    assert {n.split("_")[0] for n in mine} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in mine} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
     without = shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__")
     shutil.copytree(root, tmp_path / "copy", ignore=without)
     assert names(tmp_path / "copy") == everything - mine
