@@ -7,15 +7,15 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from strataforge.functions.metrics import auc
-from strataforge.functions.moments import grouped_moments, path_end
 from strataforge.operators import ftrl
 from strataforge.operators import models as M
 from strataforge.operators.blend import weighted_score
 from strataforge.operators.encode import standardize
+from strataforge.operators.factors import score_factors, train_factors
 from strataforge.operators.hashed import hash_features
 from strataforge.operators.selection import ridge_cv
 from strataforge.operators.split import k_folds
-from strataforge.operators.stacking import ALPHAS
+from strataforge.operators.stacking import path_scores
 from strataforge.operators.stumps import bagged_stumps
 from strataforge.operators.trees import fit_forest, forest_cv_auc, random_forest
 from strataforge.plans import feature_build as V
@@ -89,18 +89,8 @@ def m7(spark, sf):
 
 @query("m8_elastic_net_path")
 def m8(spark, sf):
-    wide = fx.scores_wide(spark, sf)
-    models = list(fx.SCORE_MODELS)
-    one = wide.withColumn("g", F.lit(1))
-    moments = grouped_moments(one, [*models, "y"], "g")[1]
-    out = None
-    for alpha in ALPHAS:
-        lam = path_end(moments, len(models) + 1, alpha)
-        ready = M.assemble(wide.withColumn("y", F.col("y").cast("double")), models, "_features")
-        fitted = M.elastic_net(alpha, lam).fit(ready)
-        scored = fitted.transform(ready).select(F.lit(alpha).alias("alpha"), "id", F.col("_fit").alias("score"))
-        out = scored if out is None else out.union(scored)
-    return out
+    out = path_scores(fx.scores(spark, sf), list(fx.SCORE_MODELS))
+    return out.select("alpha", "id", "score")
 
 
 RIDGED = ["a", "n4", "zip"]
@@ -183,10 +173,9 @@ def m11_rare(spark, sf):
 @query("m11_factorization_machine")
 def m11(spark, sf):
     cols = ["prio", "st", "state1", "lvl"]
-    rows = hash_features(fx.base(spark, sf).select("id", "y", "split", *cols), cols).select("id", "y", "split", "indices")
-    ready = cut(M.slot_vectors(M.drop_rare_slots(rows, "indices"), "indices", 1 << 10))
-    model = M.fit_vectors(M.factorization_machine(8, passes=8, rate=0.1), ready.where("split = 'train'"))
-    return model.score(ready.where("split = 'test'").select("id", "features"))
+    rows = cut(hash_features(fx.base(spark, sf).select("id", "y", "split", *cols), cols).select("id", "y", "split", "indices"))
+    model, _ = train_factors(rows.where("split = 'train'"))
+    return score_factors(rows.where("split = 'test'"), model)
 
 
 @query("m12_neural_net")
@@ -308,13 +297,6 @@ def _progress_sql() -> str:
 def x1(spark, sf):
     root = fresh_path(spark, "progress")
     events = fx.table(spark, sf, "events").withColumn("seconds", F.col("ts").cast("timestamp").cast("double"))
-    # Slices by time, written one after the other: the stream takes files in the order of their writing.
-    shares = [k / SLICES for k in range(1, SLICES)]
-    bounds = events.agg(F.percentile("seconds", shares).alias("b")).first()["b"]
-    for low, high in zip([None, *bounds], [*bounds, None]):
-        part = events.where(F.lit(True) if low is None else F.col("seconds") >= low)
-        part = part.where(F.lit(True) if high is None else F.col("seconds") < high)
-        part.drop("seconds").coalesce(1).write.mode("append").parquet(f"{root}/in")
     learner = progressive.ProgressiveLearner(spark, root)
 
     def prepare(batch):
@@ -322,8 +304,15 @@ def x1(spark, sf):
         rows = rows.withColumn("hour", F.hour("ts")).withColumn("size", F.floor(F.col("value") / 20))
         return hash_features(rows.select("id", "y", "user_id", "hour", "size"), ["user_id", "hour", "size"], SLOTS, "md5")
 
-    stream = spark.readStream.schema(events.drop("seconds").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    progressive.start(stream, learner, prepare).awaitTermination()
+    # A slice of time arrives as any number of files; the stream then takes all that is new as one batch.
+    shares = [k / SLICES for k in range(1, SLICES)]
+    bounds = events.agg(F.percentile("seconds", shares).alias("b")).first()["b"]
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        part = events.where(F.lit(True) if low is None else F.col("seconds") >= low)
+        part = part.where(F.lit(True) if high is None else F.col("seconds") < high)
+        part.drop("seconds").write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(events.drop("seconds").schema).parquet(f"{root}/in")
+        progressive.start(stream, learner, prepare).awaitTermination()
     done = learner.progress()
     return done.select("batch_id", "n_rows", F.round("batch_loss", 6).alias("batch_loss"), F.round("mean_loss", 6).alias("mean_loss"))
 

@@ -7,9 +7,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from strataforge.functions.moments import elastic_net_fit, grouped_moments, path_end
+from strataforge.functions.moments import elastic_net_fit, elastic_net_path, grouped_moments, path_end, standardised
 from strataforge.operators import correlation as R
 from strataforge.operators import lincomb as L
+from strataforge.operators.stacking import path_scores
 
 
 def _table(n=900, seed=1):
@@ -81,6 +82,46 @@ def test_ridge_has_its_closed_form(spark):
     assert np.allclose(elastic_net_fit(m, 3, 0.0, lam)[1:], beta / x.std(0), atol=1e-8)
 
 
+@pytest.mark.parametrize("alpha", [0.0, 0.3, 1.0])
+def test_every_fit_of_a_path_is_optimal(spark, alpha):
+    """Karush-Kuhn-Tucker: the pull on a column equals its penalty where it is used, and is within it elsewhere."""
+    pdf = _table()
+    pdf["one"] = 1
+    m = grouped_moments(spark.createDataFrame(pdf), ["a", "b", "c", "y"], "one")[1]
+    _, _, sd, corr, target = standardised(m, 4)
+    path = elastic_net_path(m, 4, alpha)
+    assert len(path) == 100 and path[-1][0] == pytest.approx(path_end(m, 4, alpha))
+    assert all(a > b for (a, _), (b, _) in zip(path, path[1:]))
+    for lam, fit in path[::11] + path[-1:]:
+        beta = fit[1:] * sd
+        pull = target - corr @ beta - lam * (1 - alpha) * beta
+        assert np.allclose(pull[beta != 0], lam * alpha * np.sign(beta[beta != 0]), atol=1e-7)
+        assert (np.abs(pull[beta == 0]) <= lam * alpha + 1e-7).all()
+
+
+def test_scores_at_the_end_of_the_path(spark):
+    """Ridge on weighted ranks by its closed form; repeated scores share ranks, an incomplete row is left out."""
+    rnd = np.random.default_rng(4)
+    pdf = pd.DataFrame({"id": range(90), "y": rnd.integers(0, 2, 90)})
+    for k, name in enumerate(("p", "q", "r")):
+        pdf[name] = np.round(pdf["y"] * (0.2 + 0.1 * k) + rnd.random(90), 2)
+    long = pdf.melt(["id", "y"], var_name="model", value_name="score")
+    df = spark.createDataFrame(long).unionByName(spark.createDataFrame([(999, 1, "p", 0.5)], "id long, y long, model string, score double"))
+    got = path_scores(df, ["p", "q", "r"], [0.0, 1.0])
+    ranks = pdf[["p", "q", "r"]].rank().to_numpy()
+    w = np.sqrt(ranks.std(1, ddof=1))
+    mean, mean_y = np.average(ranks, 0, w), np.average(pdf["y"], weights=w)
+    sd = np.sqrt(np.average((ranks - mean) ** 2, 0, w))
+    z, t = (ranks - mean) / sd, pdf["y"] - mean_y
+    pull = (z * w[:, None]).T @ t / w.sum()
+    lam = 1e-4 * np.abs(pull).max() / 1e-3
+    beta = np.linalg.solve((z * w[:, None]).T @ z / w.sum() + lam * np.eye(3), pull)
+    mine = {r["id"]: r["score"] for r in got.where("alpha = 0").collect()}
+    assert sorted(mine) == list(range(90))
+    assert np.allclose([mine[i] for i in range(90)], z @ beta + mean_y, atol=1e-8)
+    assert got.where("alpha = 1").count() == 90
+
+
 def test_correlated_pairs_and_information(spark):
     pdf = _table()
     pdf["a2"] = pdf["a"] * 2 + 0.01 * pdf["c"]

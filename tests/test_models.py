@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import dataclasses
+import os
 import random
 
 import numpy as np
@@ -356,6 +357,29 @@ def test_replayed_stream_batch_changes_nothing(spark, tmp_path):
     assert first[1][3] == pytest.approx((first[0][2] * 15 + first[1][2] * 15) / 30)
 
 
+def test_stream_state_follows_the_batch(spark, tmp_path):
+    """Changes hold the batch's slots only; whole tables in between and clean-up don't change the model."""
+    _, df = _hashed(spark, 60)
+    batches = [df.where(F.floor(F.col("id") / 10) == i) for i in range(6)]
+    tables = []
+    for compact in (2, 100):
+        learner = progressive.ProgressiveLearner(spark, f"{tmp_path}/{compact}", compact=compact)
+        for i, b in enumerate(batches):
+            learner.step(b, i, "id", "y", "indices")
+            if compact == 2 and i == 3:
+                learner.step(b, i, "id", "y", "indices")
+        tables.append(sorted(map(tuple, learner.model_after(5).table.collect())))
+        written = {r["slot"] for r in spark.read.parquet(f"{tmp_path}/{compact}/changes/5").collect()}
+        assert written == {s for r in batches[5].collect() for s in r["indices"]} | {0}
+    assert tables[0] == tables[1]
+    model = ftrl.empty_model(spark)
+    for b in batches:
+        model, _, _ = ftrl.update(b, model)
+    assert sorted(map(tuple, model.table.collect())) == tables[0]
+    assert sorted(os.listdir(f"{tmp_path}/2/changes")) == ["4", "5"]
+    assert sorted(os.listdir(f"{tmp_path}/2/whole")) == ["3", "5"]
+
+
 def test_stream_equals_batches(spark, tmp_path):
     _, df = _hashed(spark, 30)
     for i in range(3):
