@@ -1,14 +1,17 @@
 """Signature rules of the license scan, written for texts as words with single spaces.
 
 Each rule is a regular expression with the words it cannot do without, a label, a
-priority and a confidence.  The rules are made from the names and versions below and
-from four ways to state a license, from a full notice down to a bare name.
+priority and a confidence.  Bodies, headers, tags, exceptions and dual licensing are
+hand-written (``license_signatures``); notices that only name a license are made from the
+names and versions below and from four ways to state one, down to a bare name.
 """
 
 from __future__ import annotations
 
 import re
 
+from strataforge.llm.license_signatures import SIGNATURES, TAGGED
+
 #: Label, names (words separated by spaces, "/" between names), versions.
 FAMILIES = """
 apache | apache license/apache software license/apache licence/asl | 1.0 1.1 2.0
@@ -83,6 +86,40 @@ def _versions(v: str) -> str:
     return rf"(?: license| licence| international| only| or later)?(?: version| v)? v?{major}{tail}"
 
 
+#: So many of a signature's words gate it, the longest ones: short words are in most texts.
+GATE_WORDS = 3
+
+
+def _gate(signature: str) -> list[str]:
+    """Words that any match holds: of those outside of brackets, choices and gaps the longest."""
+    bare = signature
+    while (less := re.sub(r"\([^()]*\)\??", " # ", bare)) != bare:
+        bare = less
+    words = {w for w in bare.split() if re.fullmatch(r"[a-z0-9]+", w)}
+    return sorted(sorted(words, key=lambda w: (-len(w), w))[:GATE_WORDS])
+
+
+def anchor(rule: dict) -> str:
+    """The word under which a rule is looked up: its longest."""
+    return max(rule["words"], key=lambda w: (len(w), w))
+
+
+def _regex(signature: str) -> str:
+    """``..N`` as up to N words; brackets don't capture."""
+    return re.sub(r" \.\.(\d+) ", r"(?: [^ ]+){0,\1} ", signature).replace("(", "(?:").replace("(?:?:", "(?:")
+
+
+def _signatures() -> list[dict]:
+    lines = [[x.strip() for x in line.split("|", 3)] for line in SIGNATURES.strip().splitlines()]
+    for name in TAGGED.split():
+        words = name.lower().replace("-", " ").replace(".", " ")
+        lines.append([name.lower(), "6", "1.0", f"spdx license identifier {words}"])
+    return [
+        {"label": label, "pattern": f" {_regex(text)}(?= )", "priority": int(priority), "confidence": float(confidence), "words": _gate(text)}
+        for label, priority, confidence, text in lines
+    ]
+
+
 def rules() -> list[dict]:
     out = []
 
@@ -102,4 +139,4 @@ def rules() -> list[dict]:
                 add(f"{label}-{v}", name, literal + _versions(v), VERSIONED)
             add(label, name, NOTICE + literal, PLAIN)
             add(label, name, literal, NAMED)
-    return out
+    return _signatures() + out

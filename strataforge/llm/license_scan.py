@@ -1,7 +1,7 @@
 """License scan: signature rules behind a keyword gate, with DataFrame functions only.
 
-A text is read as words.  Texts without any keyword stop there.  For the others only
-rules all of whose words occur are tried.  Detections that lie inside another one are
+A text is read as words.  Texts without any keyword stop there.  For the others rules
+are looked up by their longest word, and only those all of whose words occur are tried.  Detections that lie inside another one are
 suppressed: the longer one stays, of equal ones that with the higher priority.
 Nothing is shuffled; all work on a text is done in its row.
 """
@@ -12,7 +12,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strataforge.llm.license_rules import rules
+from strataforge.llm.license_rules import anchor, rules
 from strataforge.llm.line_dedup import lower_ascii
 from strataforge.llm.naming import others
 
@@ -22,7 +22,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _RULE = "array<struct<label:string,pattern:string,priority:int,confidence:double,words:array<string>>>"
 
 
-def _constant(values: list, schema: str) -> Column:
+def _constant(values: list | dict, schema: str) -> Column:
     """One literal instead of an expression per entry; it is folded when the plan is made."""
     return F.from_json(F.lit(json.dumps(values)), schema)
 
@@ -119,6 +119,9 @@ def license_scan(docs: DataFrame, phrases: dict[str, str], text: str = "text") -
     other columns stay, an empty table stays empty.
     """
     table = rules()
+    by_anchor: dict[str, list[dict]] = {}
+    for r in table:
+        by_anchor.setdefault(anchor(r), []).append(r)
     keywords = sorted({w for r in table for w in r["words"]} | {w for p in phrases for w in p.split()})
     added = ("n_words", "places", "detections", "labels", "score")
     kept = others(docs.columns, added)
@@ -128,9 +131,9 @@ def license_scan(docs: DataFrame, phrases: dict[str, str], text: str = "text") -
     )
     # The gate: which keywords occur at all.
     gated = worded.select("*", F.array_intersect("_words", F.lit(keywords)).alias("_found"))
-    tried = F.filter(
-        _constant(table, _RULE), lambda r: F.forall(r["words"], lambda w: F.array_contains("_found", w))
-    )
+    looked_up = _constant(by_anchor, f"map<string,{_RULE}>")
+    near = F.flatten(F.transform(F.array_intersect("_found", F.lit(sorted(by_anchor))), lambda a: F.element_at(looked_up, a)))
+    tried = F.filter(near, lambda r: F.forall(r["words"], lambda w: F.array_contains("_found", w)))
     no_rules = F.array().cast(_RULE)
     chosen = gated.select(
         "*",

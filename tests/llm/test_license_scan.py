@@ -57,6 +57,58 @@ def test_rules(spark):
     assert got == texts
 
 
+#: Text as it is found, and labels it must have.
+FOUND = [
+    ("// SPDX-License-Identifier: MIT", {"mit"}),
+    ("# SPDX-License-Identifier: Apache-2.0", {"apache-2.0"}),
+    ("/* SPDX-License-Identifier: ISC */", {"isc"}),
+    ("SPDX-License-Identifier: GPL-2.0-or-later WITH Linux-syscall-note", {"gpl-2.0", "linux-syscall-note"}),
+    ("SPDX-License-Identifier: CC-BY-NC-SA-4.0", {"cc-by-nc-sa-4.0"}),
+    ("Licensed under Apache 2", {"apache-2.0"}),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\")", {"mit"}),
+    ("Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that", {"bsd"}),
+    ("Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from", {"bsd-3-clause"}),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", {"isc"}),
+    ("This program is free software; you can redistribute it and/or modify it", {"gpl"}),
+    ("the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", {"gpl-2.0-or-later"}),
+    ("GPLv2 with the Classpath Exception", {"gpl-2.0", "classpath-exception-2.0"}),
+    ("GNU Lesser General Public License as published by the Free Software Foundation; version 2.1", {"lgpl-2.1"}),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", {"mpl-2.0"}),
+    ("Dual licensed under the MIT and GPL licenses", {"dual", "mit"}),
+    ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", {"dual"}),
+    ("This is free and unencumbered software released into the public domain.", {"unlicense"}),
+    ("The origin of this software must not be misrepresented;", {"zlib"}),
+    ("https://creativecommons.org/licenses/by-sa/4.0/", {"cc-by-sa-4.0"}),
+    ("The Software shall be used for Good, not Evil.", {"json"}),
+    ("Unauthorized copying of this file, via any medium is strictly prohibited", {"proprietary"}),
+    ("Copyright (c) 2019 Someone", {"copyright"}),
+    ("{ \"license\": \"ISC\" }", {"isc"}),
+]
+PLAIN = [
+    "He asked for permission and it was granted, free of doubt.", "The program was free; software cost extra.", "a clause of the contract on file",
+    "spdx", "the mit of the day", "two versions of the story, either is fine at your option",
+]
+
+
+def test_hand_written_signatures(spark):
+    texts = [t for t, _ in FOUND] + PLAIN
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: {d["label"] for d in r["detections"]} for r in license_scan(docs, LICENSE_PHRASES).collect()}
+    missing = [(t, want, got[i]) for i, (t, want) in enumerate(FOUND) if not want <= got[i]]
+    assert not missing
+    assert [got[len(FOUND) + i] for i in range(len(PLAIN))] == [set()] * len(PLAIN)
+
+
+def test_gates_hold_in_every_match():
+    """A rule's words are in all that it matches: each signature's own plain reading passes its gate."""
+    table = rules()
+    assert len([r for r in table if r["priority"] >= 3]) > 300
+    for r in table:
+        assert r["words"] and re.compile(r["pattern"])
+        plain = re.sub(r"\(\?: \[\^ \]\+\)\{0,\d+\}", "", r["pattern"])
+        assert all(re.search(rf"(?<![a-z0-9]){w}(?![a-z0-9])", plain) for w in r["words"])
+
+
 def test_detections_against_regexes(spark):
     """Every detection is a match of its rule, none lies in another, and every match lies in one that stayed."""
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
