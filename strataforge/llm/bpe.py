@@ -41,7 +41,7 @@ class Vocabulary:
     spelled: list[str]
     match: dict[str, int] = field(default_factory=dict, repr=False)
     pairs: dict[tuple[int, int], int] = field(default_factory=dict, repr=False)
-    longest: int = 0
+    reach: dict[str, int] = field(default_factory=dict, repr=False)
 
     @classmethod
     def from_json(cls, text: str) -> Vocabulary:
@@ -86,11 +86,15 @@ class Vocabulary:
         for t in made[np.argsort(self.rank[made])]:
             sound[t] &= sound[self.left[t]] and sound[self.right[t]]
         self.match = {s: i for i, s in enumerate(self.spelled) if s and sound[i]}
-        self.longest = max(map(len, self.match))
+        # The longest token behind the first three letters, so that a letter is not tried with tokens it can't start.
+        self.reach = {}
+        for t in self.match:
+            if len(t) >= 3:
+                self.reach[t[:3]] = max(self.reach.get(t[:3], 0), len(t))
 
     def __getstate__(self) -> dict:
         # The lookup dictionaries are made again where the vocabulary is used.
-        return self.__dict__ | {"match": {}, "pairs": {}}
+        return self.__dict__ | {"match": {}, "pairs": {}, "reach": {}}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -129,10 +133,10 @@ class Vocabulary:
 
     def propose(self, word: str) -> list[int]:
         """Longest match from the left; the end mark belongs to the last letter."""
-        out, at, n, match = [], 0, len(word), self.match
+        out, at, n, match, reach = [], 0, len(word), self.match, self.reach
         marked = self.end_of_word
         while at < n:
-            for end in range(min(n, at + self.longest), at, -1):
+            for end in range(min(n, at + reach.get(word[at : at + 3], 2)), at, -1):
                 if marked and end == n - 1:
                     continue
                 if (t := match.get(word[at:end])) is not None:
@@ -185,16 +189,17 @@ class Vocabulary:
 
 
 class WordCache:
-    """Token ids of words seen by this worker, in flat arrays; at most ``limit`` words are kept."""
+    """Token ids of words seen by this worker, in flat arrays; at most ``limit`` words of ``letters`` letters in all are kept."""
 
-    def __init__(self, vocabulary: Vocabulary, limit: int = 600_000) -> None:
-        self.vocabulary, self.limit = vocabulary, limit
+    def __init__(self, vocabulary: Vocabulary, limit: int = 600_000, letters: int = 1 << 24) -> None:
+        self.vocabulary, self.limit, self.letters = vocabulary, limit, letters
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.sizes, self.starts = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.ids, self.used = np.zeros(4096, np.int32), 0
+        self.held = 0
         for s, i in self.vocabulary.specials.items():
             self._add([s], [[i]])
 
@@ -216,10 +221,11 @@ class WordCache:
     def learn(self, words: set[str]) -> None:
         """Make all these words known; older ones may go."""
         new = words - self.index.keys()
-        if len(self.index) + len(new) > self.limit:
+        if len(self.index) + len(new) > self.limit or self.held + sum(map(len, new)) > self.letters:
             self.clear()
             new = words - self.index.keys()
         if new:
+            self.held += sum(map(len, new))
             new = sorted(new)
             end = END if self.vocabulary.end_of_word else ""
             spelled = [w.encode("utf-8").decode("latin-1") + end for w in new]

@@ -1,4 +1,7 @@
-"""Token counts by a map-side lookup in two tiers, without shuffling pre-tokens."""
+"""Token counts by a map-side lookup in two tiers, without shuffling pre-tokens.
+
+Only reports on the commonest words travel, at most TASK_ROWS short words of a task.
+"""
 
 from __future__ import annotations
 
@@ -20,6 +23,8 @@ from strataforge.llm.workers import trimmed
 TABLE_ROWS, TASK_ROWS, TASK_WORDS = 65_536, 8_192, 262_144
 #: Longer pre-tokens are not put in the table, so its bytes are bounded too.
 LONGEST = 32
+#: Longer pre-tokens are counted anew each time, so a cache of words has bounded bytes.
+CACHED_LETTERS = 64
 
 
 def frequent_pretokens(docs: DataFrame, text: str, specials: list[str], content: str, rows: int) -> list[tuple[str, int]]:
@@ -60,7 +65,7 @@ def token_counts(
 
     First tier: a broadcast table of at most ``rows`` frequent pre-tokens (each of
     at most LONGEST letters) with their lengths in tokens.  Second tier: a bounded
-    cache in each worker; what it lacks is encoded there.
+    cache in each worker (words of up to CACHED_LETTERS letters); what it lacks is encoded there.
 
     Null and empty texts have 0 tokens.  Special strings in a text count as one
     token.  Other columns and repeated rows stay; a column called like ``out`` is
@@ -95,6 +100,9 @@ def token_counts(
                     ids = vocabulary.encode_words([w.encode("utf-8").decode("latin-1") for w in new])
                     known.update(zip(new, map(len, ids)))
                 counts += [sum(map(known.__getitem__, ws)) for ws in split]
+                for w in new:
+                    if len(w) > CACHED_LETTERS:
+                        del known[w]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64())], names=[*kept, out])
 
     return source.mapInArrow(trimmed(run), schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -87,6 +88,42 @@ def test_cache_limit(vocabularies):
         assert len(small.index) <= 50
 
 
+def test_cache_of_long_words_is_bounded(vocabularies):
+    vocabulary = vocabularies[BYTE][0]
+    cache = WordCache(vocabulary, letters=5000)
+    rnd = random.Random(4)
+    for _ in range(20):
+        words = {"".join(rnd.choices("abcde", k=1500)) for _ in range(2)}
+        cache.learn(words)
+        assert words <= cache.index.keys() and sum(map(len, cache.index)) <= 5000 + sum(map(len, vocabulary.specials))
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_long_words(vocabularies, path):
+    """Minified or coded text: 100,000 letters without a space, in time that grows with their number."""
+    rnd = random.Random(6)
+    for letters, n in (("abcdefghijklmnopqrstuvwxyz", 100_000), ("a", 30_000), ("ab", 30_000), ("éñx", 20_000)):
+        text = "".join(rnd.choices(letters, k=n))
+        start = time.monotonic()
+        got = encode(vocabularies, path, text)
+        assert time.monotonic() - start < 4
+        assert got == vocabularies[path][2].encode(text, add_special_tokens=False).ids
+
+
+def test_empty_null_repeated_and_clashing(spark, vocabularies):
+    rows = [(1, None, "x", 1), (1, "", "y", 2), (2, "a b", "z", 3), (2, "a b", "z", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string, other int")
+    coded = round_trip(docs, WORD, decoded="other")
+    assert coded.columns == ["doc_id", "text", "n_tokens", "ids", "other"]
+    got = sorted((r["doc_id"], r["n_tokens"], r["ids"], r["other"]) for r in coded.collect())
+    ab = vocabularies[WORD][2].encode("a b", add_special_tokens=False).ids
+    assert got == [(1, "x", [], ""), (1, "y", [], ""), (2, "z", ab, got[2][3]), (2, "z", ab, got[2][3])]
+    counted = token_counts(docs, BYTE)
+    assert counted.columns == ["doc_id", "text", "other", "n_tokens"]
+    assert sorted(r["n_tokens"] for r in counted.collect()) == [0, 0, 2, 2]
+    assert round_trip(docs.limit(0), WORD).count() == 0 and token_counts(docs.limit(0), BYTE).count() == 0
+
+
 def test_documents(spark, vocabularies):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     coded = round_trip(docs, WORD).select("text", "ids", "decoded", ids_digest("ids").alias("i"), text_digest("decoded").alias("d"))
