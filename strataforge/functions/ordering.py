@@ -9,11 +9,14 @@ table carries the offsets between slices.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import AtomicType
 
-from strataforge.functions.lookup import lookup
+from strataforge.functions.lookup import SALTS, Size, lookup
 from strataforge.session import cut
 
 SLICE = "_slice"
+#: Rows of a slice of ranked rows at least, and slices of a group at most.
+SLICE_ROWS, MOST_SLICES = 50_000, 4096
 
 
 def _sliced(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -111,16 +114,29 @@ def hashed_positions(
     )
 
 
-def rank_table(df: DataFrame, value: str, keys: list[str] | None = None) -> DataFrame:
-    """One row per distinct value: ``n`` rows, ``avg_rank`` with ties averaged, ``total_n``."""
-    keys = list(keys or [])
-    cells = (
-        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    )
-    totals = running_totals(cells, [value], ["n"], keys)
-    return totals.select(
-        *keys, value, "n", (F.col("before_n") + (F.col("n") + 1) / 2).alias("avg_rank"), "total_n"
-    )
+def _cuts(known: DataFrame, value: str, keys: list[str], slice_rows: int) -> tuple[DataFrame, int, int]:
+    """(keys, _cuts): values that cut each group into slices of at least ``slice_rows`` rows or so; the table's rows and cuts.
+
+    A value with more rows than a slice is a cut itself, as it holds one of the quantiles.
+    """
+    most = min(4 * int(known.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_SLICES)
+    shares = F.array(*[F.lit(i / most) for i in range(1, most)])
+    found = known.groupBy(*keys).agg(F.percentile_approx(value, shares, 8 * most).alias("_q"), F.count("*").alias("_n"))
+    step = F.ceil(F.lit(float(most * slice_rows)) / F.col("_n"))
+    every = F.filter("_q", lambda _, i: (i + 1) % step == 0)
+    cuts = found.select(*keys, F.array_distinct(every).alias("_cuts"))
+    blocks = cuts.withColumn("_block", F.greatest(F.ceil(F.sqrt(F.size("_cuts"))).cast("int"), F.lit(1)))
+    table = cut(blocks.withColumn("_heads", F.filter("_cuts", lambda _, i: i % F.col("_block") == 0)))
+    size = table.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("_cuts")), F.lit(0)).alias("cuts")).first()
+    return table, size["rows"], size["cuts"]
+
+
+def _slice_of(value: Column) -> Column:
+    """2 x (cuts below the value), one more where the value is a cut: a search among the heads of blocks of cuts, then in one block."""
+    below = lambda xs: F.size(F.filter(xs, lambda b: b < value))
+    at = F.greatest(below(F.col("_heads")) - 1, F.lit(0)) * F.col("_block")
+    before = at + below(F.slice("_cuts", at + 1, F.col("_block")))
+    return 2 * before + F.get("_cuts", before).eqNullSafe(value).cast("int")
 
 
 def average_rank(
@@ -130,17 +146,45 @@ def average_rank(
     out: str = "rank",
     percentile: bool = False,
     descending: bool = False,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Tie-averaged rank of ``value`` per group, or rank/n; NULL stays NULL."""
+    """Tie-averaged rank of a numeric ``value`` per group, or rank/n; NULL stays NULL.
+
+    Quantiles cut each group into slices; counts per slice, a small table, give the
+    offsets, and a window inside the slice gives the rest, so the rows move once and
+    meet no table of their own size.  A value with more rows than a slice is a slice
+    by itself, whose rank follows from its count alone: its rows are spread by a salt.
+    """
     keys = list(keys or [])
-    table = rank_table(df, value, keys)
-    rank = F.col("avg_rank")
+    table, groups, cuts = _cuts(df.where(F.col(value).isNotNull()), value, keys, slice_rows)
+    missing = F.col(value).isNull()
+    if keys:
+        size = Size(groups, 16 * (len(keys) + 2) * groups + 16 * cuts)
+        rows = lookup(df, table, keys, size=size, null_safe=keys)
+    else:
+        one = table.first()
+        rows = df.select("*", *[F.lit(one[c]).cast(table.schema[c].dataType).alias(c) for c in ("_cuts", "_block", "_heads")])
+    rows = rows.select(*df.columns, F.when(missing, -1).otherwise(_slice_of(F.col(value))).alias(SLICE))
+    cells = rows.groupBy(*keys, SLICE).agg(F.count("*").alias("_n")).where(F.col(SLICE) >= 0)
+    group = [F.col(k) for k in keys] or [F.lit(0)]
+    before = W.partitionBy(*group).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+    offsets = cells.select(
+        *keys, SLICE, "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"), F.sum("_n").over(W.partitionBy(*group)).alias("_total")
+    )
+    rows = lookup(rows, offsets, [*keys, SLICE], null_safe=keys)
+    hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    alone = missing | (F.col(SLICE) % 2 == 1)
+    spread = F.when(alone, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(SALTS))).otherwise(F.lit(0))
+    inside = W.partitionBy(*keys, SLICE, "_salt").orderBy(value)
+    peers = F.count("*").over(inside.rangeBetween(W.currentRow, W.currentRow))
+    local = F.when(alone, (F.col("_n") + 1) / 2).otherwise(F.rank().over(inside) + (peers - 1) / 2)
+    rank = F.col("_off") + local
     if descending:
-        rank = F.col("total_n") + 1 - rank
+        rank = F.col("_total") + 1 - rank
     if percentile:
-        rank = rank / F.col("total_n")
-    table = table.select(*keys, value, rank.alias(out), F.col("n").alias("_weight"))
-    return lookup(df, table, keys + [value], weight="_weight", null_safe=keys)
+        rank = rank / F.col("_total")
+    kept = [F.col(f"`{c}`") for c in df.columns if c != out]
+    return rows.withColumn("_salt", spread).select(*kept, F.when(~missing, rank).alias(out))
 
 
 def rank_sums(df: DataFrame, label: str, value: str, keys: list[str] | None = None) -> DataFrame:

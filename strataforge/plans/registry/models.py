@@ -13,6 +13,7 @@ from strataforge.operators.blend import weighted_score
 from strataforge.operators.encode import standardize
 from strataforge.operators.factors import score_factors, train_factors
 from strataforge.operators.hashed import hash_features
+from strataforge.operators.networks import fit_network
 from strataforge.operators.selection import ridge_cv
 from strataforge.operators.split import k_folds
 from strataforge.operators.stacking import path_scores
@@ -183,7 +184,7 @@ def m12(spark, sf):
     train, valid, test = _rows(spark, sf)
     both = train.unionByName(valid).unionByName(test)
     scaled = cut(standardize(both, FEATURES))
-    model = M.fit(M.neural_net(len(FEATURES), (16, 8)), scaled.where("split = 'train'"), FEATURES)
+    model = fit_network(scaled.where("split = 'train'"), FEATURES)
     return model.score(scaled.where("split = 'test'"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from strataforge.operators.factors import FactorModel, FactorParams
 from strataforge.operators.ftrl import FtrlModel, FtrlParams
+from strataforge.operators.networks import Network
 from strataforge.operators.stumps import BaggedStumps, BoostedStumps
 
 VERSION = 1
@@ -70,3 +71,15 @@ def save_factors(model: FactorModel, spark: SparkSession, path: str) -> None:
 def load_factors(spark: SparkSession, path: str) -> FactorModel:
     about = read_about(spark, path, "factors")
     return FactorModel(spark.read.parquet(f"{path}/slots"), tuple(about["bias"]), FactorParams(**about["params"]))
+
+
+def save_network(model: Network, spark: SparkSession, path: str) -> None:
+    weights = spark.createDataFrame([(model.flat.astype("<f8").tobytes(),)], "weights binary")
+    weights.coalesce(1).write.mode("overwrite").parquet(f"{path}/weights")
+    write_about(spark, path, "network", {"features": model.features, "sizes": model.sizes, "history": model.history})
+
+
+def load_network(spark: SparkSession, path: str) -> Network:
+    about = read_about(spark, path, "network")
+    flat = np.frombuffer(bytes(spark.read.parquet(f"{path}/weights").first()["weights"]), dtype="<f8")
+    return Network(about["features"], about["sizes"], flat, [tuple(h) for h in about["history"]])

@@ -37,6 +37,26 @@ def test_average_rank_matches_pandas_for_any_partitioning(spark):
     assert np.allclose(whole.sort_values("id")["rank"], pdf["score"].rank() / len(pdf))
 
 
+@pytest.mark.parametrize("slice_rows", [1, 37, 500])
+def test_ranks_over_many_slices(spark, slice_rows):
+    pdf = _scores()
+    pdf.loc[pdf["id"] % 11 == 0, "score"] = None
+    df = spark.createDataFrame(pdf).withColumn("score", F.when(~F.isnan("score"), F.col("score")))
+    for keys in (["g"], []):
+        of = pdf.groupby(keys)["score"] if keys else pdf["score"]
+        for percentile, descending in ((False, False), (True, False), (False, True)):
+            got = average_rank(df, "score", keys, "rank", percentile, descending, slice_rows).toPandas().sort_values("id")
+            want = of.rank(ascending=not descending, pct=percentile)
+            assert np.allclose(got["rank"], want, equal_nan=True)
+
+
+def test_rank_of_empty_and_null_tables(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "id int, s double")
+    assert [r["rank"] for r in average_rank(df, "s").collect()] == [None, None]
+    assert average_rank(df.where("id > 2"), "s").count() == 0
+    assert average_rank(df.where("id > 2"), "s", ["id"]).count() == 0
+
+
 def test_rank_with_null_score_and_null_group(spark):
     rows = [(1, None, 1.0), (2, None, 1.0), (3, None, 2.0), (4, "a", None), (5, "a", 9.0)]
     df = spark.createDataFrame(rows, "id int, g string, s double")
