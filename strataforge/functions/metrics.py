@@ -10,15 +10,18 @@ from strataforge.functions.ordering import rank_sums
 LOGLOSS_CLIP = 1e-14
 
 
+def area(out: str = "auc") -> Column:
+    """Mann-Whitney AUC from ``n_rows``, ``n_pos`` and ``rank_sum``; NULL when a class is missing."""
+    n_pos, n_neg = F.col("n_pos"), F.col("n_rows") - F.col("n_pos")
+    return F.try_divide(F.col("rank_sum") - n_pos * (n_pos + 1) / 2, n_pos * n_neg).alias(out)
+
+
 def auc_by(
     df: DataFrame, label: str, score: str, keys: list[str] | None = None, out: str = "auc"
 ) -> DataFrame:
     """Mann-Whitney AUC with averaged ties per group; NULL when a class is missing."""
     keys = list(keys or [])
-    sums = rank_sums(df, label, score, keys)
-    n_pos, n_neg = F.col("n_pos"), F.col("n_rows") - F.col("n_pos")
-    area = F.try_divide(F.col("rank_sum") - n_pos * (n_pos + 1) / 2, n_pos * n_neg)
-    return sums.select(*keys, area.alias(out))
+    return rank_sums(df, label, score, keys).select(*keys, area(out))
 
 
 def auc(df: DataFrame, label: str, score: str) -> DataFrame:

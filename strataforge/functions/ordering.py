@@ -16,7 +16,7 @@ from strataforge.session import cut
 
 SLICE = "_slice"
 #: Rows of a slice of ranked rows at least, and slices of a group at most.
-SLICE_ROWS, MOST_SLICES = 50_000, 4096
+SLICE_ROWS, MOST_SLICES = 250_000, 4096
 
 
 def _sliced(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -114,21 +114,24 @@ def hashed_positions(
     )
 
 
-def _cuts(known: DataFrame, value: str, keys: list[str], slice_rows: int) -> tuple[DataFrame, int, int]:
-    """(keys, _cuts): values that cut each group into slices of at least ``slice_rows`` rows or so; the table's rows and cuts.
+def _cuts(known: DataFrame, sizes: DataFrame, value: str, keys: list[str], slice_rows: int) -> tuple[DataFrame, Size]:
+    """(keys, _cuts, _block, _heads): values that cut the groups of more than ``slice_rows`` rows into slices of about that many.
 
     A value with more rows than a slice is a cut itself, as it holds one of the quantiles.
     """
     most = min(4 * int(known.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_SLICES)
     shares = F.array(*[F.lit(i / most) for i in range(1, most)])
+    if keys:
+        large = sizes.where(F.col("_n") > slice_rows).select(*keys, F.lit(True).alias("_large"))
+        known = lookup(known.select(*keys, value), large, keys, null_safe=keys).where("_large")
     found = known.groupBy(*keys).agg(F.percentile_approx(value, shares, 8 * most).alias("_q"), F.count("*").alias("_n"))
     step = F.ceil(F.lit(float(most * slice_rows)) / F.col("_n"))
     every = F.filter("_q", lambda _, i: (i + 1) % step == 0)
     cuts = found.select(*keys, F.array_distinct(every).alias("_cuts"))
     blocks = cuts.withColumn("_block", F.greatest(F.ceil(F.sqrt(F.size("_cuts"))).cast("int"), F.lit(1)))
     table = cut(blocks.withColumn("_heads", F.filter("_cuts", lambda _, i: i % F.col("_block") == 0)))
-    size = table.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("_cuts")), F.lit(0)).alias("cuts")).first()
-    return table, size["rows"], size["cuts"]
+    many = table.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("_cuts")), F.lit(0)).alias("cuts")).first()
+    return table, Size(many["rows"], 16 * (len(keys) + 2) * many["rows"] + 16 * many["cuts"])
 
 
 def _slice_of(value: Column) -> Column:
@@ -150,27 +153,33 @@ def average_rank(
 ) -> DataFrame:
     """Tie-averaged rank of a numeric ``value`` per group, or rank/n; NULL stays NULL.
 
-    Quantiles cut each group into slices; counts per slice, a small table, give the
+    Quantiles cut groups of more than ``slice_rows`` rows into slices; counts per slice, a small table, give the
     offsets, and a window inside the slice gives the rest, so the rows move once and
     meet no table of their own size.  A value with more rows than a slice is a slice
     by itself, whose rank follows from its count alone: its rows are spread by a salt.
     """
     keys = list(keys or [])
-    table, groups, cuts = _cuts(df.where(F.col(value).isNotNull()), value, keys, slice_rows)
     missing = F.col(value).isNull()
-    if keys:
-        size = Size(groups, 16 * (len(keys) + 2) * groups + 16 * cuts)
-        rows = lookup(df, table, keys, size=size, null_safe=keys)
+    known = df.where(~missing)
+    sizes = cut(known.groupBy(*keys).agg(F.count("*").alias("_n")))
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= slice_rows:
+        rows = df.withColumn(SLICE, F.when(missing, -1).otherwise(0))
+        offsets = sizes.select(*keys, F.lit(0).alias(SLICE), "_n", F.lit(0).cast("long").alias("_off"), F.col("_n").alias("_total"))
     else:
-        one = table.first()
-        rows = df.select("*", *[F.lit(one[c]).cast(table.schema[c].dataType).alias(c) for c in ("_cuts", "_block", "_heads")])
-    rows = rows.select(*df.columns, F.when(missing, -1).otherwise(_slice_of(F.col(value))).alias(SLICE))
-    cells = rows.groupBy(*keys, SLICE).agg(F.count("*").alias("_n")).where(F.col(SLICE) >= 0)
-    group = [F.col(k) for k in keys] or [F.lit(0)]
-    before = W.partitionBy(*group).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
-    offsets = cells.select(
-        *keys, SLICE, "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"), F.sum("_n").over(W.partitionBy(*group)).alias("_total")
-    )
+        table, size = _cuts(known, sizes, value, keys, slice_rows)
+        if keys:
+            rows = lookup(df, table, keys, size=size, null_safe=keys)
+        else:
+            one = table.first()
+            rows = df.select("*", *[F.lit(one[c]).cast(table.schema[c].dataType).alias(c) for c in ("_cuts", "_block", "_heads")])
+        place = F.coalesce(F.when(F.col("_cuts").isNotNull(), _slice_of(F.col(value))), F.lit(0))
+        rows = rows.select(*df.columns, F.when(missing, -1).otherwise(place).alias(SLICE))
+        cells = rows.groupBy(*keys, SLICE).agg(F.count("*").alias("_n")).where(F.col(SLICE) >= 0)
+        group = [F.col(k) for k in keys] or [F.lit(0)]
+        before = W.partitionBy(*group).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+        offsets = cells.select(
+            *keys, SLICE, "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"), F.sum("_n").over(W.partitionBy(*group)).alias("_total")
+        )
     rows = lookup(rows, offsets, [*keys, SLICE], null_safe=keys)
     hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
     alone = missing | (F.col(SLICE) % 2 == 1)
