@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from strataforge.functions.metrics import auc, auc_by, auc_over_folds, logloss
 from strataforge.functions.ordering import average_rank, hashed_positions, positions, running_totals
 from strataforge.operators import ordered as W
+from strataforge.operators.blend import mean_blends
 
 
 def _scores(n=4000, seed=3):
@@ -133,3 +134,27 @@ def test_top_and_best(spark):
     assert {r["m"] for r in W.top_by_rank(df, "s", 2).collect()} == {"a"}
     tied = spark.createDataFrame([("z", 1.0), ("k", 1.0), ("a", 0.5)], "m string, s double")
     assert W.best_by(tied, "s", "m").first()["m"] == "k"
+
+
+def test_ranks_of_few_values_move_no_rows(spark):
+    rows = spark.range(4000).select(
+        "id", F.when(F.col("id") % 3 > 0, F.col("id") % 2).alias("g"), F.when(F.col("id") % 7 > 0, (F.col("id") % 5).cast("double")).alias("v")
+    )
+    for down, share in ((False, False), (True, False), (False, True)):
+        few = average_rank(rows, "v", ["g"], "r", share, down)
+        plan = few._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "hashpartitioning" not in plan
+        # An order of its own for each row of a value: the same ranks by the window over slices.
+        many = average_rank(rows.withColumn("v", F.col("v") + F.col("id") * 1e-9), "v", ["g"], "s", share, down)
+        tied = many.withColumn("v", F.round("v", 3)).groupBy("g", "v").agg(F.avg("s").alias("s"))
+        found = few.groupBy("g", "v").agg(F.min("r").alias("low"), F.max("r").alias("high"))
+        wanted = {(r["g"], r["v"]): r["s"] for r in tied.collect()}
+        for r in found.collect():
+            assert r["low"] == r["high"] and (r["low"] is None) == (r["v"] is None)
+            assert r["v"] is None or abs(r["low"] - wanted[r["g"], r["v"]]) < 1e-9
+
+
+def test_means_of_several_columns_take_one_grouping(spark):
+    rows = spark.createDataFrame([(1, 1.0, 2.0), (1, 3.0, None), (2, None, 5.0)], "id int, a double, b double")
+    got = {r["id"]: (r["ma"], r["mb"]) for r in mean_blends(rows, "id", {"a": "ma", "b": "mb"}).collect()}
+    assert got == {1: (2.0, 2.0), 2: (None, 5.0)}
