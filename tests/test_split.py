@@ -68,3 +68,12 @@ def test_sample_lists_equal_the_long_form(spark):
         a = {r["id"] for r in S.in_sample(marked, rep).collect()}
         assert a == {r["id"] for r in long.where(F.col("rep") == rep).collect()}
     assert marked.count() == df.count()
+
+
+def test_few_cells_are_counted_to_find_a_limit(spark, monkeypatch):
+    counted = []
+    monkeypatch.setattr(S, "cut", lambda df: counted.append(df.count()) or df)
+    rows = spark.range(6000).withColumnRenamed("id", "i")
+    got = S.repeated_samples(rows, "i", 2, 0.25)
+    assert {r["rep"]: r["n"] for r in got.groupBy("rep").agg(F.sum("inside").alias("n")).collect()} == {1: 1500, 2: 1500}
+    assert counted[0] <= 2 * 1024
