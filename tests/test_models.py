@@ -433,3 +433,21 @@ def test_ties_do_not_depend_on_the_size_of_scores(spark):
         rows = [(0, 0.1 * scale), (1, 0.2 * scale), (0, 0.3 * scale), (1, (0.1 + 0.2) * scale)]
         df = spark.createDataFrame(rows, "y int, m double")
         assert B.weighted_auc(df, "y", ["m"], [1.0]).first()["auc"] == pytest.approx(0.625)
+
+
+def test_a_round_of_stumps_works_on_blocks_of_cells(spark):
+    from strataforge.operators import stumps
+
+    rows = spark.range(3000).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 11).cast("double").alias("b"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    edges = stumps.bin_edges(rows, ["a", "b"])
+    cells = stumps._cells(rows, ["a", "b"], edges, "y", [F.lit(1), (F.col("a") > 3).cast("int")])
+    assert cells.count() == 1  # 154 cells, before one row each
+    state = np.random.default_rng(2).normal(size=(2, 2, max(map(len, edges)) + 2))
+    found, table = stumps._weight_sums(cells, state), rows.toPandas()
+    wanted = np.zeros_like(found)
+    for m, counted in enumerate((np.ones(len(table)), table["a"] > 3)):
+        places = [np.searchsorted(e, table[c], side="left") for c, e in zip("ab", edges)]
+        weight = counted * np.exp(-(2 * table["y"] - 1) * (state[m, 0, places[0]] + state[m, 1, places[1]]))
+        for f, p in enumerate(places):
+            np.add.at(wanted[m, f], (p, table["y"]), weight)
+    assert np.allclose(found, wanted, rtol=1e-12)
