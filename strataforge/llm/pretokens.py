@@ -37,6 +37,23 @@ def newer_letters() -> re.Pattern:
     return re.compile("[" + "".join(ranges) + "]")
 
 
+BEYOND_PLANE = re.compile("[\U00010000-\U0010ffff]")
+
+
+@lru_cache(maxsize=1)
+def plane_spaced() -> re.Pattern:
+    """SPACED_PATTERN for texts without code points beyond the first plane, with the same letters, digits and spaces.
+
+    They are spelled out as ranges, which ``re`` looks up in a bit map: about half the time of ``regex``.
+    """
+    every = "".join(chr(c) for c in range(0x10000) if not 0xD800 <= c <= 0xDFFF)
+    runs = lambda p: "".join(f"\\u{ord(m[0]):04x}-\\u{ord(m[-1]):04x}" for m in regex.findall(p + "+", every))
+    letter, digit, space = runs(r"\p{L}"), runs(r"\p{N}"), runs(r"\s")
+    return re.compile(
+        rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{digit}]+| ?[^{space}{letter}{digit}]+|[{space}]+(?![^{space}])|[{space}]+"
+    )
+
+
 class Splitter:
     """Words of a text.  Special strings stand for themselves and are found before anything else.
 
@@ -46,7 +63,9 @@ class Splitter:
     """
 
     def __init__(self, pattern: str, specials: list[str], normalise: bool, source: str) -> None:
-        self.words = regex.compile(pattern).findall
+        self.words = self.plain_words = regex.compile(pattern).findall
+        if pattern == SPACED_PATTERN and not normalise:
+            self.plain_words = plane_spaced().findall
         self.source, self.exact = source, None
         self.specials = regex.compile("|".join(regex.escape(s) for s in sorted(specials, key=len, reverse=True)))
         self.marks = specials
@@ -65,11 +84,12 @@ class Splitter:
         return [bytes(map(self.symbols.__getitem__, w)).decode("utf-8") for w in words]
 
     def _plain(self, text: str) -> list[str]:
-        if not text.isascii() and BEYOND_LATIN.search(text) and newer_letters().search(text):
+        beyond = not text.isascii() and BEYOND_LATIN.search(text)
+        if beyond and newer_letters().search(text):
             return self._newer(text)
         if self.normalise:
             text = lower_each(unicodedata.normalize("NFC", text))
-        return self.words(text)
+        return self.words(text) if beyond and BEYOND_PLANE.search(text) else self.plain_words(text)
 
     def split(self, text: str) -> list[str]:
         if not any(m in text for m in self.marks):

@@ -146,3 +146,21 @@ def test_token_counts(spark, vocabularies, rows):
     tokenizer = vocabularies[BYTE][2]
     for r in token_counts(docs.union(odd), BYTE, rows=rows).collect():
         assert r["n_tokens"] == len(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids)
+
+
+def test_the_spelled_out_pattern_splits_like_the_pattern():
+    import random
+
+    import regex
+
+    from strataforge.llm.pretokens import SPACED_PATTERN, Splitter
+
+    splitter, whole = Splitter(SPACED_PATTERN, [], False, ""), regex.compile(SPACED_PATTERN).findall
+    assert splitter.plain_words is not splitter.words
+    rng = random.Random(7)
+    for _ in range(5000):
+        odd = [chr(rng.randrange(0x378)), rng.choice(" \n\t\r'sltrevmd aZ09\u00e9\x1c\x1f\x85\u2028\u3000"), chr(rng.randrange(0x378, 0xD800)), "\U0001d54f"]
+        text = "".join(rng.choices(odd, [4, 8, 2, 0.2])[0] for _ in range(15))
+        assert splitter.plain_words(text.replace("\U0001d54f", "x")) == whole(text.replace("\U0001d54f", "x"))
+        if "\U0001d54f" in text and not any(c > "\u0377" and c != "\U0001d54f" for c in text):
+            assert splitter.split(text) == whole(text)
