@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,7 +70,10 @@ def _slots(words: np.ndarray) -> np.ndarray:
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
-    """Weight of each slot: a power of the log of all words over the slot's, counted over all documents."""
+    """Weight of each slot: a power of the log of all words over the slot's, counted over all documents.
+
+    Counts travel compressed: those of a task with few words are mostly zeros.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SLOT_BITS, dtype=np.int64)
@@ -79,14 +83,15 @@ def rarity(docs: DataFrame) -> np.ndarray:
                 counts += np.bincount(_slots(words), minlength=len(counts))
         part = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([part], pa.int32()), pa.array([0], pa.int32()), pa.array([counts.tobytes()], pa.binary())], names=["part", "g", "m"]
+            [pa.array([part], pa.int32()), pa.array([0], pa.int32()), pa.array([zlib.compress(counts, 1)], pa.binary())],
+            names=["part", "g", "m"],
         )
 
     def merge(parts: list[bytes]) -> bytes:
-        return sum(np.frombuffer(p, dtype=np.int64) for p in parts).tobytes()
+        return zlib.compress(sum(np.frombuffer(zlib.decompress(p), dtype=np.int64) for p in parts), 1)
 
     sums = tree_merge(docs.select("text").mapInArrow(trimmed(run), "part int, g int, m binary"), merge)
-    counts = np.frombuffer(sums[0], dtype=np.int64) if sums else np.zeros(1 << SLOT_BITS, np.int64)
+    counts = np.frombuffer(zlib.decompress(sums[0]), dtype=np.int64) if sums else np.zeros(1 << SLOT_BITS, np.int64)
     return (np.log((counts.sum() + 2.0) / (counts + 1.0)) ** POWER).astype(np.float32)
 
 
@@ -122,32 +127,47 @@ def randomised_svd(rows: DataFrame, vocabulary: np.ndarray, weight: np.ndarray,
     """Right singular directions (vocabulary x rank) of the passages' TF-IDF matrix.
 
     A fixed random start is multiplied by A^T A; each task adds up its rows' share and
-    shares are merged in rounds, so no task or driver ever holds the matrix.
+    shares are merged in rounds, so no task or driver ever holds the matrix.  A share is
+    sent as the words it has and their rows, so it is as small as the task's passages are few.
     """
     context = rows.sparkSession.sparkContext
     basis = np.random.default_rng(7).standard_normal((len(vocabulary), rank))
+    size = len(vocabulary)
+
+    def packed(at: np.ndarray, total: np.ndarray) -> bytes:
+        return np.int64(len(at)).tobytes() + at.astype(np.int64).tobytes() + total[at].tobytes()
 
     def merge(parts: list[bytes]) -> bytes:
-        return sum(np.frombuffer(p) for p in parts).tobytes()
+        total, held = np.zeros((size, rank)), np.zeros(size, dtype=bool)
+        for p in parts:
+            n = int(np.frombuffer(p, np.int64, 1)[0])
+            at = np.frombuffer(p, np.int64, n, 8)
+            total[at] += np.frombuffer(p, offset=8 * (n + 1)).reshape(n, rank)
+            held[at] = True
+        return packed(np.flatnonzero(held), total)
 
     for _ in range(rounds):
         shared = context.broadcast((vocabulary, weight, np.linalg.qr(basis)[0]))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             vocabulary, weight, basis = shared.value
-            total = np.zeros_like(basis)
+            total, held = np.zeros_like(basis), np.zeros(len(basis), dtype=bool)
             for batch in batches:
-                for packed in batch.column(0).to_pylist():
-                    at, value = _row(np.frombuffer(packed, dtype=np.uint64), vocabulary, weight)
+                for words in batch.column(0).to_pylist():
+                    at, value = _row(np.frombuffer(words, dtype=np.uint64), vocabulary, weight)
                     total[at] += np.outer(value, value @ basis[at])
-            part = TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([0], pa.int32()), pa.array([total.tobytes()], pa.binary())],
-                names=["part", "g", "m"],
-            )
+                    held[at] = True
+            if held.any():
+                part = TaskContext.get().partitionId()
+                share = packed(np.flatnonzero(held), total)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part], pa.int32()), pa.array([0], pa.int32()), pa.array([share], pa.binary())], names=["part", "g", "m"]
+                )
 
         sums = tree_merge(rows.select("words").mapInArrow(trimmed(run), "part int, g int, m binary"), merge)
-        basis = np.frombuffer(sums[0]).reshape(basis.shape)
+        n = int(np.frombuffer(sums[0], np.int64, 1)[0])
+        basis = np.zeros_like(basis)
+        basis[np.frombuffer(sums[0], np.int64, n, 8)] = np.frombuffer(sums[0], offset=8 * (n + 1)).reshape(n, rank)
         shared.unpersist()
     return np.linalg.qr(basis)[0]
 

@@ -181,3 +181,30 @@ def test_excerpts(spark):
                     want.add((d, i))
     table, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
     assert {(r["doc_id"], r["item_id"]) for r in leaks(table.repartition(4), bench).collect()} == want
+
+
+def test_a_share_of_few_passages_is_small(spark, monkeypatch):
+    """What a task sends of the SVD follows its own passages, not the block's: many tasks don't pile up whole matrices."""
+    rng = np.random.default_rng(1)
+    rows = [rng.integers(1, 1 << 62, 20).astype(np.uint64) for _ in range(64)]
+    vocabulary = np.unique(np.concatenate(rows))
+    weight = np.ones(1 << module.SLOT_BITS, dtype=np.float32)
+    table = spark.createDataFrame([(bytearray(r.tobytes()),) for r in rows], "words binary").repartition(96).cache()
+    sent, whole = [], module.tree_merge
+
+    def watched(parts, merge, *more):
+        sent.append(max(len(r["m"]) for r in parts.collect()))
+        return whole(parts, merge, *more)
+
+    monkeypatch.setattr(module, "tree_merge", watched)
+    basis = module.randomised_svd(table, vocabulary, weight, 48)
+    assert max(sent) < len(vocabulary) * 48 * 8 / 8
+    dense = np.zeros((64, len(vocabulary)))
+    for i, r in enumerate(rows):
+        at, value = module._row(r, vocabulary, weight)
+        dense[i, at] = value
+    want = np.random.default_rng(7).standard_normal((len(vocabulary), 48))
+    for _ in range(2):
+        want = dense.T @ (dense @ np.linalg.qr(want)[0])
+    want = np.linalg.qr(want)[0]
+    assert np.abs(np.abs((basis * want).sum(axis=0)) - 1).max() < 1e-6
