@@ -232,6 +232,26 @@ def test_hill_climb_against_numpy(spark):
     assert got == want
 
 
+def test_aucs_of_vectors_in_slices(spark, monkeypatch):
+    """Values meet in slices as packed arrays; ties within and across blocks, missing cells and heavy values count as before."""
+    monkeypatch.setattr(B, "BLOCK_ROWS", 170)
+    pdf = _scores()
+    pdf.loc[pdf["id"] % 50 == 3, "m2"] = None
+    pdf["y"] = pdf["y"].astype("Int64")
+    pdf.loc[pdf["id"] % 40 == 7, "y"] = None
+    rows = [[None if pd.isna(v) else int(v) if i == 0 else float(v) for i, v in enumerate(r)] for r in pdf[["y", *MODELS]].itertuples(index=False)]
+    wide = spark.createDataFrame(rows, "y long, m1 double, m2 double, m3 double, m4 double").repartition(3).cache()
+    vectors = {3: [1.0, 0.0, 0.0, 0.0], 5: [0.3, 0.3, 0.2, 0.2], 9: [0.0, 0.0, 0.0, 0.0], 11: [1 / 3, 1 / 3, 0.0, 1 / 3]}
+    got = B.auc_of_vectors(wide, "y", MODELS, vectors, slice_rows=60)
+    whole = wide.where("m2 is not null")
+    for v, w in vectors.items():
+        score = sum((F.lit(x) * F.col(m) for x, m in zip(w, MODELS)), F.lit(0.0))
+        want = auc(whole.select("y", B.rank_value(score).alias("s")), "y", "s").first()[0]
+        assert got[v] == round(want, 12)
+    assert B.auc_of_vectors(wide.where("y = 1"), "y", MODELS, {0: [1.0, 0.0, 0.0, 0.0]}) == {0: None}
+    assert B.auc_of_vectors(wide.limit(0), "y", MODELS, {0: [1.0, 0.0, 0.0, 0.0]}) == {}
+
+
 def test_simplex_weights(spark):
     pdf = _scores()
     rows = B.simplex_weights(spark.createDataFrame(pdf), "y", MODELS, restarts=3, rounds=4).collect()
