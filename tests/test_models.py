@@ -471,3 +471,26 @@ def test_a_round_of_stumps_works_on_blocks_of_cells(spark):
         for f, p in enumerate(places):
             np.add.at(wanted[m, f], (p, table["y"]), weight)
     assert np.allclose(found, wanted, rtol=1e-12)
+
+
+def test_stack_eval_ranks_a_split_in_one_place_as_in_slices(spark, monkeypatch):
+    """Few values are ranked by a table, a split's fits in one group; both give what moving all rows gives."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(240):
+        y = int(rng.random() < 0.4)
+        # An id twice with both labels, one without an id, one without a score.
+        for key, label in [(i, y), (i, 1 - y)] if i == 7 else [(None if i == 9 else i, y)]:
+            rows += [(key, m, float(rng.integers(0, 6) + label), label) for m in MODELS if i != 11 or m != MODELS[0]]
+    long = spark.createDataFrame(rows, "id long, model string, score double, y int")
+    ask = lambda: {(r["rep"], r["method"]): r["auc"] for r in K.stack_eval(long, MODELS, times=2, alphas=[0.0, 0.5, 1.0]).collect()}
+    moved = []
+    ranks = K.average_rank
+    monkeypatch.setattr(K, "average_rank", lambda *a, **k: moved.append(1) or ranks(*a, **k))
+    monkeypatch.setattr(K, "ROWS_A_VALUE", 1)
+    short = ask()
+    assert not moved
+    monkeypatch.setattr(K, "VALUE_ROWS", 0)
+    monkeypatch.setattr(K, "HELD_ROWS", 0)
+    whole = ask()
+    assert len(moved) == 2 and len(short) == 10 and short == whole
