@@ -183,6 +183,21 @@ def test_search_points_and_best_trial(spark):
     assert M.best_trial(trials).first()["trial"] == 2
 
 
+@pytest.mark.parametrize("name, trials", [("m15_forest_search", 30)])
+def test_searches_run_all_their_trials(spark, monkeypatch, name, trials):
+    """A search visits every point of its box's plan, those to start with and those to add."""
+    from strataforge.plans import tuning
+    from strataforge.plans.registry import load, models
+
+    rows = spark.createDataFrame([(i, i % 2) for i in range(20)], "id long, y int")
+    monkeypatch.setattr(models, "_rows", lambda spark, sf: (rows, rows, rows))
+    for maker in ("forest_objective", "boost_objective"):
+        monkeypatch.setattr(tuning, maker, lambda *a: lambda **point: sum(point.values()))
+    found = load()[0][name](spark, "none").collect()
+    assert [r["trial"] for r in found] == list(range(1, trials + 1))
+    assert len({r["params"] for r in found}) == trials
+
+
 def test_greedy_selection_against_numpy(spark):
     pdf = _table(300)
     got = S.greedy_forward(spark.createDataFrame(pdf).repartition(5), FEATURES, "y", "fold", 3, 0.1).collect()
