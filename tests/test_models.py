@@ -183,7 +183,7 @@ def test_search_points_and_best_trial(spark):
     assert M.best_trial(trials).first()["trial"] == 2
 
 
-@pytest.mark.parametrize("name, trials", [("m15_forest_search", 30)])
+@pytest.mark.parametrize("name, trials", [("m15_forest_search", 30), ("m15_boost_search", 37)])
 def test_searches_run_all_their_trials(spark, monkeypatch, name, trials):
     """A search visits every point of its box's plan, those to start with and those to add."""
     from strataforge.plans import tuning
@@ -198,6 +198,17 @@ def test_searches_run_all_their_trials(spark, monkeypatch, name, trials):
     assert len({r["params"] for r in found}) == trials
 
 
+def test_points_boosted_beside_each_other_have_the_values_of_each_alone(spark):
+    from strataforge.plans import tuning
+
+    rows = [(i, int(i * 7919 % 100 < 20 + i % 50), float(i % 50), float(i * 31 % 17)) for i in range(300)]
+    objective = tuning.boost_objective(spark.createDataFrame(rows, "id long, y int, a double, b double"), ["a", "b"])
+    drawn = M.draw_params(M.SEARCH_BOXES["boost"][0], 2, 1)
+    points = [p | {"n_estimators": 2, "max_depth": 1 + 4 * i, "min_child_weight": 1, "gamma": 0.0} for i, p in enumerate(drawn)]
+    found = [r["value"] for r in M.search(spark, objective, points).collect()]
+    assert found == [objective(**p) for p in points] and len(set(found)) == 2
+
+
 def test_greedy_selection_against_numpy(spark):
     pdf = _table(300)
     got = S.greedy_forward(spark.createDataFrame(pdf).repartition(5), FEATURES, "y", "fold", 3, 0.1).collect()
