@@ -209,6 +209,32 @@ def test_points_boosted_beside_each_other_have_the_values_of_each_alone(spark):
     assert found == [objective(**p) for p in points] and len(set(found)) == 2
 
 
+def test_score_and_stack_keeps_no_forest_on_the_driver(spark, monkeypatch, tmp_path):
+    from strataforge.operators import trees as T
+    from strataforge.plans.registry import ensemble, load
+    from strataforge.plans.score_and_stack import train_and_score
+
+    rows = [(i, int(i * 7919 % 100 < 20 + i % 50), float(i % 50), float(i * 31 % 17), float(i % 7), float(i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, y int, a double, n2 double, n4 double, zip double")
+    parts = df.where("id % 3 = 0"), df.where("id % 3 = 1"), df.where("id % 3 = 2").drop("y")
+    small = lambda t, v: T.GrownForest(t, ["a", "n2"], 4, T.random_forest(["a", "n2"]))
+    want = {p: {r["id"]: r["score"] for r in T.fit_forest(parts[0], ["a", "n2"], 4, T.random_forest(["a", "n2"])).score(parts[k]).collect()} for k, p in ((1, "Valid"), (2, "Full"))}
+    only = type("Only", (), {"score": lambda self, df, row_id: df.selectExpr(row_id, "a / 50 as score")})
+
+    def none(*a):
+        raise AssertionError("trees on the driver")
+
+    monkeypatch.setattr(T.TreeEnsemble, "of", none)
+    train_and_score(*parts, str(tmp_path), {"small": small, "only": lambda t, v: only()})
+    read = lambda name: {int(r["ID"]): float(r["target"]) for r in spark.read.csv(f"{tmp_path}/{name}.csv", header=True).collect()}
+    for p, scores in want.items():
+        assert read(f"pred{p}_small") == pytest.approx(scores)
+        assert read(f"pred{p}_only") == {i: rows[i][2] / 50 for i in scores}
+    monkeypatch.setattr(ensemble, "_rows", lambda spark, sf: parts)
+    monkeypatch.setattr(ensemble, "boosted_run", lambda config, features: small)
+    assert load()[0]["score_and_stack"](spark, "none").count() == 100
+
+
 def test_greedy_selection_against_numpy(spark):
     pdf = _table(300)
     got = S.greedy_forward(spark.createDataFrame(pdf).repartition(5), FEATURES, "y", "fold", 3, 0.1).collect()
